@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import zlib
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import _text as T
 from ._spark import cut, ship
-from ._tokens import encoder, text_groups
+from ._tokens import encoded, encoder
 
 CAPACITY, OPEN_BINS, MERGE_TASKS = 2048, 256, 32
 
@@ -68,24 +67,23 @@ _FIELDS = "piece int, start long, length long, ids_crc32 long, sequence_id long,
 
 
 def _pack(id_col, text_col, path, splitting, end_id, capacity, open_bins, special):
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches):
         enc, bins = encoder(path, splitting, special), BestFit(capacity, open_bins)
         base = TaskContext.get().partitionId() << 40
         for batch in batches:
             ids = T.column(batch, id_col)
-            for first, texts in text_groups(T.column(batch, text_col)):
+            for first, counts, tokens in encoded(enc, T.column(batch, text_col), end_id):
+                raw, before = memoryview(tokens.astype("<u4").tobytes()), 0
                 row, out = [], []
-                for i, b in enumerate(enc.encode(texts)):
-                    b += end
-                    n, at = len(b) // 4, 0
-                    size, piece = n % capacity or capacity, 0
+                for i, n in enumerate(counts.tolist()):
+                    at, size, piece = 0, n % capacity or capacity, 0
                     while at < n:
                         bin_, place = bins.place(size)
-                        out.append((piece, at, size, zlib.crc32(b[4 * at : 4 * (at + size)]), base + bin_, place))
+                        a = 4 * (before + at)
+                        out.append((piece, at, size, zlib.crc32(raw[a : a + 4 * size]), base + bin_, place))
                         row.append(first + i)
                         at, piece, size = at + size, piece + 1, capacity
+                    before += n
                 cols = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), *[pa.int64()] * 5), strict=True)]
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), *cols, pa.nulls(len(row), pa.int64())], [id_col, *(f.split()[0] for f in _FIELDS.split(", ")), "used"])
         if still := bins.open():

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import _text as T
 from ._spark import cut, ship, shuffle_partitions
-from ._tokens import encoder, text_groups
+from ._tokens import encoded, encoder
 
 KEYS_PER_BUCKET = 1 << 20
 MAX_LEVELS = 48
@@ -152,7 +152,6 @@ def key_hash(col: str, kind: str) -> Column:
 
 def _shards(uri, path, splitting, end_id, special, width):
     kind = np.dtype(f"<u{width}")
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         enc, shard, chunks, lengths, keys = encoder(path, splitting, special), TaskContext.get().partitionId(), [], [], []
@@ -161,10 +160,11 @@ def _shards(uri, path, splitting, end_id, special, width):
         tmp = f"{root}/ids/{shard:05d}.bin.tmp-{TaskContext.get().taskAttemptId()}"
         with fs.open_output_stream(tmp) as out:
             for batch in batches:
-                for _, texts in text_groups(T.column(batch, "text")):
-                    made = [b + end for b in enc.encode(texts)]
-                    lengths.append(np.array([len(b) // 4 for b in made], np.int64))
-                    out.write(np.frombuffer(b"".join(made), "<u4").astype(kind).tobytes())
+                for _, counts, ids in encoded(enc, T.column(batch, "text"), end_id):
+                    if int(ids.max()) > np.iinfo(kind).max:
+                        raise ValueError(f"an id needs more than {width} bytes")
+                    lengths.append(counts)
+                    out.write(ids.astype(kind).tobytes())
                 keys.append(T.column(batch, "key"))
         lengths = np.concatenate([*lengths, np.zeros(0, np.int64)])
         off = T.starts_of(lengths)
