@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, language_id, url_filter
+from . import decision_list, language_id, lm_scoring, url_filter
 from ._spark import cut, documents, new_folder, ship
+from .feistel import pseudonymise
 from .jaccard_join import jaccard_components
 from .line_dedup import dedup_lines
 from .packing import pack
@@ -22,6 +23,14 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: A deployment passes its own secret; this one makes the query's results repeatable.
+DEMO_KEY = b"treeflow demonstration key"
+
+
+def op1_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(documents(spark, sf_dir), DEMO_KEY)
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     uri = new_folder(spark, "token-store")
@@ -33,6 +42,12 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
 
 
+def op4_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    marked = lm_scoring.mark_target(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), where="quality = 1 and toxic = 0")
+    return lm_scoring.score(docs, lm_scoring.train(marked))
+
+
 def op5_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = cut(decision_list.statistics(documents(spark, sf_dir)))
     rules = decision_list.learn(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -64,8 +79,10 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_feistel": op1_feistel,
     "op2_token_store": op2_token_store,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_cross_entropy": op4_cross_entropy,
     "op5_decision_list": op5_decision_list,
     "op6_winnowing": op6_winnowing,
     "op7_line_dedup": op7_line_dedup,
@@ -102,7 +119,7 @@ FROM l LEFT JOIN hot USING (k) GROUP BY doc_id
 _OP3 = rf"""
 WITH RECURSIVE w AS (SELECT doc_id, coalesce(regexp_extract_all({_LOWER.format("text")}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, g FROM (
-        SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w] ELSE list_transform(range(1, len(w) - 3), p -> w[p:p + 4]) END) AS g FROM w)),
+        SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w] ELSE list_transform(range(1, len(w) - 3), lambda p: w[p:p + 4]) END) AS g FROM w)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
 l AS (SELECT x, y FROM o JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * o >= 80 * (a.n + b.n - o)),
