@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..ship import ship
 
@@ -37,6 +38,16 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def with_places(docs: DataFrame) -> DataFrame:
+    """docs with columns named by place (_0, _1, ...), so that no name can clash."""
+    return docs.toDF(*(f"_{i}" for i in range(len(docs.columns))))
+
+
+def fields(df: DataFrame, columns: list[str], more: str) -> T.StructType:
+    """Schema of some columns of df followed by those of a DDL string."""
+    return T.StructType([*(df.schema[c] for c in columns), *T._parse_datatype_string(more).fields])
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
 

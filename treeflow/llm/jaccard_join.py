@@ -424,3 +424,25 @@ def jaccard_components(
     alone = own.filter("key is null").select("id", "size", F.col("id").alias("component_id"))
     out = placed.join(least, "c").select("id", "size", "component_id").unionByName(alone)
     return out.select(F.col("id").alias(id_col), F.col("size").cast("long").alias("n_shingles"), "component_id")
+
+
+DROP_IDS = 500_000
+
+
+def keep_one(docs: DataFrame, id_col="doc_id", text_col="text", drop_ids: int = DROP_IDS, **options) -> DataFrame:
+    """The rows of docs, all columns, that stand for their component: those of its smallest id.
+
+    Rows with a null id cannot be told apart and all stay.  Of rows with an equal id, which
+    are expected only once, one stays if the id stands for a component.  Up to `drop_ids`
+    ids to drop (counted first) go to the texts; beyond, the join is shuffled.
+    """
+    found = cut(jaccard_components(docs, id_col, text_col, **options).select(F.col(id_col).alias("_own"), "component_id").filter("_own is not null"))
+    kept = found.filter("_own = component_id").select("_own").distinct()
+    gone = cut(found.filter("_own <> component_id").select("_own").distinct().join(kept, "_own", "left_anti"))
+    if gone.count() <= drop_ids:
+        gone = F.broadcast(gone)
+    out = docs.join(gone, docs[id_col] == gone["_own"], "left_anti")
+    if found.groupBy("_own").count().filter("count > 1").limit(1).count():
+        # ids that repeat: one row of each
+        out = out.filter(F.col(id_col).isNull()).unionByName(out.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
+    return out

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text as T
-from ._spark import ship
+from ._spark import fields, ship, with_places
 
 TRAIN_DOCS, BUCKETS, SIZES = 5000, 1 << 16, (1, 2, 3, 4)
 SWITCH, FLOOR, MIN_SHARE = 12.0, 10.0, 0.001
@@ -262,12 +262,13 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
     new = ["lang_pred", "score", *["spans"] * spans]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
     shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(*keep, F.col(text_col).cast("string").alias("_text_"))
+    rows = docs.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(keep)), F.col(text_col).cast("string").alias("_text"))
+    carried = [f"_{i}" for i in range(len(keep))]
 
     def run(batches):
         model = shared.value
         for batch in batches:
-            every = [t or "" for t in T.column(batch, "_text_").to_pylist()]
+            every = [t or "" for t in T.column(batch, "_text").to_pylist()]
             langs, shares, found = [], [], []
             at = 0
             while at < len(every):
@@ -286,7 +287,15 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
             made = [pa.array(langs, pa.string()), pa.array(np.concatenate([*shares, np.zeros(0)]), pa.float64())]
             if spans:
                 made.append(pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))))
-            yield pa.RecordBatch.from_arrays([*(T.column(batch, c) for c in keep), *made], [*keep, *new])
+            yield pa.RecordBatch.from_arrays([*(T.column(batch, c) for c in carried), *made], [*carried, *new])
 
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep] + ["lang_pred string", "score double", *["spans array<struct<start:long,end:long,lang:string>>"] * spans]
-    return rows.mapInArrow(run, ", ".join(fields))
+    more = ", ".join(["lang_pred string", "score double", *["spans array<struct<start:long,end:long,lang:string>>"] * spans])
+    return rows.mapInArrow(run, fields(rows, carried, more)).toDF(*keep, *new)
+
+
+def drop_unknown(docs: DataFrame, model: Model | None, text_col: str = "text", min_score: float = 0.5, switch: float = SWITCH) -> DataFrame:
+    """The rows of docs, all columns, whose text has a language: not `und`, and at least
+    min_score of its letters in one language."""
+    work = with_places(docs)
+    out = predict(work, model, f"_{docs.columns.index(text_col)}", switch=switch)
+    return out.filter((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select(*work.columns).toDF(*docs.columns)

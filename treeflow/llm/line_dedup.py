@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text as T
-from ._spark import cut, ship
+from ._spark import cut, fields, ship, with_places
 
 MIN_DOCS, MIN_CHARS = 10, 1
 BROADCAST_KEYS = 4_000_000
@@ -95,17 +95,17 @@ def _pairs(text_col: str, min_chars: int):
     return run
 
 
-def _add_hash(text_col: str, keep: list[str]):
+def _add_hash(text_col: str, carried: list[str]):
     def run(batches):
         for batch in batches:
             whole = [T.Spans(d, fold=False).hash(o[:-1], o[1:]) for _, _, d, o in T.blocks(T.column(batch, text_col))]
             whole = np.concatenate(whole) if whole else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([*(T.column(batch, c) for c in keep), pa.array(whole.view(np.int64))], [*keep, "text_hash"])
+            yield pa.RecordBatch.from_arrays([*(T.column(batch, c) for c in carried), pa.array(whole.view(np.int64))], [*carried, "text_hash"])
 
     return run
 
 
-def _rebuild(text_col: str, out: list[str], drop, min_chars: int, own_keys: bool):
+def _rebuild(text_col: str, carried: list[str], output: str, drop, min_chars: int, own_keys: bool):
     def run(batches):
         hot = None if own_keys else np.sort(drop.value)
         for batch in batches:
@@ -138,37 +138,18 @@ def _rebuild(text_col: str, out: list[str], drop, min_chars: int, own_keys: bool
                         kept.append(b"\n".join(raw[s:e] for s, e, g in zip(starts[a:b], ends[a:b], gone[a:b], strict=True) if not g))
                 n_lines.append(counts)
                 n_dropped.append(dropped)
-            made = {
-                "kept_text": pa.array(kept, pa.binary()).cast(pa.string()) if "kept_text" in out else None,
-                "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()) if "kept_sha256" in out else None,
-                "n_lines": pa.array(np.concatenate([*n_lines, np.zeros(0, np.int64)]).astype(np.int64)),
-                "n_dropped": pa.array(np.concatenate([*n_dropped, np.zeros(0, np.int64)]).astype(np.int64)),
-            }
-            yield pa.RecordBatch.from_arrays([made[c] if c in made else T.column(batch, c) for c in out], out)
+            new = pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()) if output == "kept_sha256" else pa.array(kept, pa.binary()).cast(pa.string())
+            counts = [pa.array(np.concatenate([*n, np.zeros(0, np.int64)])) for n in (n_lines, n_dropped)]
+            yield pa.RecordBatch.from_arrays([*(T.column(batch, c) for c in carried), *counts, new], [*carried, "n_lines", "n_dropped", output])
 
     return run
 
 
-def dedup_lines(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    min_docs: int = MIN_DOCS,
-    min_chars: int = MIN_CHARS,
-    broadcast_keys: int = BROADCAST_KEYS,
-    output: str = "kept_text",
-) -> DataFrame:
-    """id_col, n_lines, n_dropped and `output`: kept_text, or kept_sha256 (hex of its UTF-8).
-
-    Every row counts as one document, also where ids repeat or are null.  A null or empty
-    text has one empty line; a line of white space has an empty key, which is never dropped
-    while min_chars is 1 or more.  A text all of whose lines go becomes empty.  No rows give
-    no rows.  Other columns of docs are ignored, so their names cannot clash.
-    """
-    spark = ship(docs.sparkSession)
-    docs = docs.select(F.col(id_col), F.col(text_col).cast("string").alias(text_col))
+def _rebuilt(work: DataFrame, text_col: str, carried: list[str], output: str, min_docs: int, min_chars: int, broadcast_keys: int) -> DataFrame:
+    """carried, n_lines, n_dropped and output of every row."""
+    spark = ship(work.sparkSession)
     hot = (
-        docs.select(text_col)
+        work.select(text_col)
         .mapInArrow(_count_keys(text_col, min_chars), "key long, n long")
         .groupBy("key")
         .agg(F.sum("n").alias("n"))
@@ -176,18 +157,44 @@ def dedup_lines(
         .select("key")
     )
     hot = cut(hot)
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = [id_col, "n_lines", "n_dropped", output]
-    schema = f"`{id_col}` {kind}, n_lines long, n_dropped long, {output} string"
+    schema = fields(work, carried, f"n_lines long, n_dropped long, {output} string")
     if hot.count() <= broadcast_keys:
         keys = np.fromiter((r[0] for r in hot.toLocalIterator()), np.int64).view(np.uint64)
-        return docs.mapInArrow(_rebuild(text_col, out, spark.sparkContext.broadcast(keys), min_chars, False), schema)
+        return work.mapInArrow(_rebuild(text_col, carried, output, spark.sparkContext.broadcast(keys), min_chars, False), schema)
     own = (
-        docs.select(text_col)
+        work.select(text_col)
         .mapInArrow(_pairs(text_col, min_chars), "text_hash long, key long")
         .join(hot, "key")
         .groupBy("text_hash")
         .agg(F.collect_set("key").alias("_keys"))
     )
-    hashed = docs.mapInArrow(_add_hash(text_col, [id_col, text_col]), f"`{id_col}` {kind}, `{text_col}` string, text_hash long")
-    return hashed.join(own, "text_hash", "left").mapInArrow(_rebuild(text_col, out, None, min_chars, True), schema)
+    hashed = work.mapInArrow(_add_hash(text_col, work.columns), fields(work, work.columns, "text_hash long"))
+    return hashed.join(own, "text_hash", "left").mapInArrow(_rebuild(text_col, carried, output, None, min_chars, True), schema)
+
+
+def dedup_lines(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_docs: int = MIN_DOCS,
+    min_chars: int = MIN_CHARS,
+    broadcast_keys: int = BROADCAST_KEYS,
+    output: str = "kept_text",
+) -> DataFrame:
+    """id_col, n_lines, n_dropped and `output`: kept_text, or kept_sha256 (hex of its UTF-8).
+
+    Every row counts as one document, also where ids repeat or are null.  A null or empty
+    text has one empty line; a line of white space has an empty key, which is never dropped
+    while min_chars is 1 or more.  A text all of whose lines go becomes empty.  No rows give
+    no rows.  Other columns of docs are ignored, so their names cannot clash.
+    """
+    work = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    return _rebuilt(work, "_text", ["_id"], output, min_docs, min_chars, broadcast_keys).withColumnRenamed("_id", id_col)
+
+
+def drop_shared_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """docs, all columns and rows, with shared lines gone from the texts; a null text stays null."""
+    work = with_places(docs)
+    text = f"_{docs.columns.index(text_col)}"
+    out = _rebuilt(work, text, work.columns, "kept_text", min_docs, min_chars, broadcast_keys)
+    return out.select(*(F.when(F.col(c).isNotNull(), F.col("kept_text")).alias(n) if c == text else F.col(c).alias(n) for c, n in zip(work.columns, docs.columns, strict=True)))

@@ -17,7 +17,7 @@ from .token_store import read_keys, write_store
 from .winnow import hits
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -34,7 +34,7 @@ def op1_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     uri = new_folder(spark, "token-store")
-    write_store(docs, uri, _tokenizer("word_bpe_49k.json"), splitting="words", end_id=2)
+    write_store(docs, uri, tokenizer_path("word_bpe_49k.json"), splitting="words", end_id=2)
     return read_keys(docs, uri)
 
 
@@ -75,7 +75,7 @@ def op9_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"), splitting="byte_level", end_id=0)
+    return pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), splitting="byte_level", end_id=0)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text as T
-from ._spark import cut, ship
+from ._spark import cut, fields, ship, with_places
 
 SPAN, GRAM = 10, 5
 BLOCK_BYTES = 16 << 20
@@ -166,27 +166,39 @@ def _pass(text_col, carried, index_of, span, gram, merge):
     return run
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", item_col="item_id", item_text="text", span=SPAN, gram=GRAM, block_bytes=BLOCK_BYTES) -> DataFrame:
-    """id_col, n_words, n_hit, items (the item ids found, as sorted strings), contaminated.
-
-    Words are runs of ASCII letters and digits and of all non-ASCII characters, A-Z
-    lower-cased.  Null and empty texts have no words and are never contaminated; items
-    without words match nothing; a null item id counts as an empty string.  Rows with equal
-    or null document ids are separate documents.  Equal item ids are one item of several
-    texts.  Other columns are ignored.  An empty benchmark contaminates nothing.
-    """
-    spark = ship(docs.sparkSession)
-    docs = docs.select(F.col(id_col), F.col(text_col).cast("string").alias(text_col))
+def _marked(work: DataFrame, text_col, carried, benchmark, item_col, item_text, span, gram, block_bytes) -> DataFrame:
+    """carried, n_words, n_hit, _hit and _items of every row."""
+    spark = ship(work.sparkSession)
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("i"), F.col(item_text).cast("string").alias("t")).filter(F.col("t").isNotNull()).distinct()
     size = items.agg(F.sum(F.octet_length("t")).alias("b")).first()["b"] or 0
     n_blocks = 1 + int(size // block_bytes)
-    kind = docs.schema[id_col].dataType.simpleString()
-    carried, schema = [id_col, text_col], f"`{id_col}` {kind}, `{text_col}` string, n_words long, n_hit long, _hit binary, _items array<string>"
-    out = docs
+    schema = fields(work, carried, "n_words long, n_hit long, _hit binary, _items array<string>")
+    out = work
     for b in range(n_blocks):
         rows = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == b).collect()
         index = spark.sparkContext.broadcast(Index(sorted((r["i"], r["t"]) for r in rows), span, gram))
         if b:
             out = cut(out)
         out = out.mapInArrow(_pass(text_col, carried, index, span, gram, b > 0), schema)
-    return out.select(id_col, "n_words", "n_hit", F.col("_items").alias("items"), (F.col("n_hit") > 0).alias("contaminated"))
+    return out
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", item_col="item_id", item_text="text", span=SPAN, gram=GRAM, block_bytes=BLOCK_BYTES) -> DataFrame:
+    """id_col, n_words, n_hit, items (the item ids found, as sorted strings), contaminated.
+
+    Words are runs of ASCII letters and digits and of all non-ASCII characters, A-Z
+    lower-cased.  Null and empty texts have no words and are never contaminated; items
+    without words match nothing; a null item id counts as an empty string.  Rows with equal
+    or null document ids are separate documents.  Equal item ids are one item of several
+    texts.  Other columns are ignored.  An empty benchmark contaminates nothing.
+    """
+    work = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    out = _marked(work, "_text", ["_id", "_text"], benchmark, item_col, item_text, span, gram, block_bytes)
+    return out.select(F.col("_id").alias(id_col), "n_words", "n_hit", F.col("_items").alias("items"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col="text", item_col="item_id", item_text="text", span=SPAN, gram=GRAM, block_bytes=BLOCK_BYTES) -> DataFrame:
+    """The rows of docs, all columns, in which no window of an item occurs."""
+    work = with_places(docs)
+    out = _marked(work, f"_{docs.columns.index(text_col)}", work.columns, benchmark, item_col, item_text, span, gram, block_bytes)
+    return out.filter("n_hit = 0").select(*work.columns).toDF(*docs.columns)
