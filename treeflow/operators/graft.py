@@ -103,13 +103,13 @@ def graft(skeleton: DataFrame, index: DataFrame, max_levels: int = MAX_LEVELS) -
     every = base.unionByName(entry_nodes(index)).select("file_key", "entry", "id", "path", "type", "props", "children_at", "is_object")
     every = every.withColumn("up", F.slice("path", 1, F.greatest(F.size("path") - 1, F.lit(0))))
     roots = every.filter(F.size("path") == 0)
-    heads = roots.filter(F.col("entry").isNotNull()).select("file_key", F.col("entry").alias("own"), *(F.col(c).alias(f"new_{c}") for c in ("id", "type", "props", "children_at", "is_object")))
-    children = every.filter(F.size("path") > 0).select("file_key", F.col("entry").alias("from_entry"), F.col("up").alias("from_path"), F.col("path").alias("src_path"), "id", "type", "props", "children_at", "is_object")
+    heads = roots.filter(F.col("entry").isNotNull()).select(F.col("file_key").alias("h_key"), F.col("entry").alias("own"), *(F.col(c).alias(f"new_{c}") for c in ("id", "type", "props", "children_at", "is_object")))
+    children = every.filter(F.size("path") > 0).select(F.col("file_key").alias("c_key"), F.col("entry").alias("from_entry"), F.col("up").alias("from_path"), F.col("path").alias("src_path"), "id", "type", "props", "children_at", "is_object")
 
     slots = roots.filter(F.col("entry").isNull()).select("file_key", F.lit(None).cast("string").alias("src"), F.col("path").alias("src_path"), F.lit(None).cast("string").alias("parent_id"), F.col("path").alias("path"), "id", "type", "props", "children_at", "is_object")
     out, hits = None, None
     for _ in range(max_levels):
-        joined = slots.join(heads, (slots["file_key"] == heads["file_key"]) & (slots["id"] == heads["own"]) & (slots["id"] != "") & slots["is_object"], "left").drop(heads["file_key"])
+        joined = slots.join(heads, (F.col("file_key") == F.col("h_key")) & (F.col("id") == F.col("own")) & (F.col("id") != "") & F.col("is_object"), "left")
         hit = F.col("own").isNotNull()
         now = cut(joined.select(
             "file_key",
@@ -123,9 +123,8 @@ def graft(skeleton: DataFrame, index: DataFrame, max_levels: int = MAX_LEVELS) -
         count = now.groupBy("file_key").agg(F.count_if("hit").alias("grafted"))
         out, hits = (now, count) if out is None else (out.unionByName(now), hits.unionByName(count))
         open_ = now.filter(F.col("children_at").isNotNull()).select("file_key", F.col("src").alias("p_src"), F.col("src_path").alias("p_path"), F.col("path").alias("at"), F.col("id").alias("p_id"))
-        c = children
-        slots = open_.join(c, (open_["file_key"] == c["file_key"]) & open_["p_src"].eqNullSafe(c["from_entry"]) & (open_["p_path"] == c["from_path"])).select(
-            open_["file_key"], F.col("p_src").alias("src"), "src_path", F.col("p_id").alias("parent_id"), F.concat("at", F.slice("src_path", F.size("src_path"), 1)).alias("path"), "id", "type", "props", "children_at", "is_object"
+        slots = open_.join(children, (F.col("file_key") == F.col("c_key")) & F.col("p_src").eqNullSafe(F.col("from_entry")) & (F.col("p_path") == F.col("from_path"))).select(
+            "file_key", F.col("p_src").alias("src"), "src_path", F.col("p_id").alias("parent_id"), F.concat("at", F.slice("src_path", F.size("src_path"), 1)).alias("path"), "id", "type", "props", "children_at", "is_object"
         )
         if slots.isEmpty():
             break
@@ -165,7 +164,7 @@ def reconstruct(skeletons: DataFrame, parts: DataFrame, frontier: DataFrame | No
     skeletons: file_key, raw.  A document is built by one task; documents are spread."""
     ship(skeletons.sparkSession)
     entries = part_entries(parts)
-    packed = entries.groupBy("file_key").agg(F.array_sort(F.collect_list(F.struct("file", "pos", "id", "document", *ASSET_KINDS))).alias("entries"))
+    packed = entries.groupBy("file_key").agg(F.collect_list(F.struct("file", "pos", "id", "document", *ASSET_KINDS)).alias("entries"))
     ids = frontier.groupBy("file_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias("frontier")) if frontier is not None else None
     rows = skeletons.select("file_key", "raw").join(packed, "file_key", "left")
     rows = rows.join(ids, "file_key", "left") if ids is not None else rows.withColumn("frontier", F.array().cast("array<string>"))
@@ -176,7 +175,7 @@ def reconstruct(skeletons: DataFrame, parts: DataFrame, frontier: DataFrame | No
             for row in pdf.itertuples(index=False):
                 file = json.loads(row.raw)
                 index, maps = {}, {k: dict(file.get(k) or {}) for k in ASSET_KINDS}
-                for e in row.entries if row.entries is not None else ():
+                for e in sorted(row.entries if row.entries is not None else (), key=lambda e: (e["file"], e["pos"])):
                     if e["document"] is not None:
                         index[e["id"]] = json.loads(e["document"])
                     for k in ASSET_KINDS:

@@ -105,7 +105,8 @@ def missing_preview(spark, sf_dir):
     return graft.missing_preview(graft.missing_ids(front, index))
 
 
-@query("""WITH g AS (SELECT o_orderkey, count(*) AS n, bool_and(l_returnflag <> 'R') AS whole FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey)
+@query("""WITH p AS (SELECT l_orderkey, bool_or(l_returnflag <> 'R') AS there FROM lineitem GROUP BY l_orderkey, l_linenumber),
+g AS (SELECT l_orderkey AS o_orderkey, bool_and(there) AS whole FROM p GROUP BY l_orderkey)
 SELECT o_orderkey FROM orders ANTI JOIN (SELECT o_orderkey AS k FROM g WHERE whole) ON k = o_orderkey""")
 def resume_anti(spark, sf_dir):
     """Groups (orders) that must be fetched again: some part (line item) is not there."""
@@ -192,24 +193,24 @@ def last_wins_merge(spark, sf_dir):
 
 
 @query("""WITH r AS (SELECT user_id AS file_key, event_type AS key, event_id::VARCHAR AS value, event_id FROM events)
-SELECT file_key, map_from_entries(list_sort(list(struct_pack(k := key, v := value)))) AS merged FROM
+SELECT file_key, string_agg(key || '=' || value, ',' ORDER BY key) AS merged FROM
 (SELECT file_key, key, arg_max(value, event_id) AS value FROM r GROUP BY file_key, key) GROUP BY file_key""")
 def map_merge(spark, sf_dir):
     """Union of maps, the later entry of a key winning."""
     e = table(spark, sf_dir, "events").select(F.col("user_id").alias("file_key"), F.col("event_type").alias("key"), F.col("event_id").cast("string").alias("value"), "event_id")
     won = graft.last_wins(e, ["file_key", "key"], "value", ["event_id"])
-    return won.groupBy("file_key").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("merged"))
+    return won.groupBy("file_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("key", "value"))), lambda x: F.concat_ws("=", x["key"], x["value"])), ",").alias("merged"))
 
 
-@query("""WITH p AS (SELECT l_orderkey AS sha, 'part-' || l_partkey || '.json' AS file, l_linenumber AS bytes, l_returnflag <> 'R' AS fresh FROM lineitem),
+@query("""WITH p AS (SELECT l_orderkey AS sha, 'part-' || l_partkey || '.json' AS file, bool_and(l_returnflag <> 'R') AS fresh FROM lineitem GROUP BY l_orderkey, l_partkey),
 g AS (SELECT o_custkey AS file_key, count(*) AS "batchCount", count(*) FILTER (o_orderstatus = 'F') AS "resumedSkipped", sum(o_orderkey % 3)::BIGINT AS rechunked FROM orders GROUP BY o_custkey),
 q AS (SELECT o_custkey AS file_key, count(*) FILTER (fresh) AS downloaded FROM (SELECT o_custkey, file, arg_min(fresh, sha) AS fresh FROM p JOIN orders ON o_orderkey = sha GROUP BY o_custkey, file) GROUP BY o_custkey)
 SELECT file_key::VARCHAR AS file_key, "batchCount", "resumedSkipped", rechunked, coalesce(downloaded, 0) AS downloaded FROM g LEFT JOIN q USING (file_key)""")
 def run_counters(spark, sf_dir):
     """Counters of a run: groups, reused groups, splits, files written."""
     o = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("file_key"), F.col("o_orderkey").alias("sha"), (F.col("o_orderstatus") == "F").alias("resumed"), (F.col("o_orderkey") % 3).alias("rechunked"))
-    firsts = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", (F.col("l_returnflag") != "R").alias("fresh"), F.col("l_linenumber").cast("long").alias("bytes"))
-    parts = firsts.join(o.select("file_key", "sha"), F.col("l_orderkey") == F.col("sha")).select("file_key", F.concat(F.lit("part-"), "l_partkey", F.lit(".json")).alias("file"), F.array(F.col("l_partkey").cast("string")).alias("ids"), "sha", "bytes", F.lit(0.0).alias("elapsed_ms"), "fresh")
+    once = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_partkey").agg(F.bool_and(F.col("l_returnflag") != "R").alias("fresh"), F.min("l_linenumber").cast("long").alias("bytes"))
+    parts = once.join(o.select("file_key", "sha"), F.col("l_orderkey") == F.col("sha")).select("file_key", F.concat(F.lit("part-"), "l_partkey", F.lit(".json")).alias("file"), F.array(F.col("l_partkey").cast("string")).alias("ids"), "sha", "bytes", F.lit(0.0).alias("elapsed_ms"), "fresh")
     return manifest.counters(o, parts).select("file_key", "batchCount", "resumedSkipped", "rechunked", "downloaded")
 
 
@@ -388,7 +389,7 @@ def percent_encode(spark, sf_dir):
 @query()
 def token_bucket(spark, sf_dir):
     """Events each user's bucket admits: an ordered fold, which SQL cannot express."""
-    return replay(table(spark, sf_dir, "events"), "user_id", "ts", "event_id", 0.001, 3)
+    return replay(table(spark, sf_dir, "events"), "user_id", "ts", "event_id", 0.00001, 3)
 
 
 def conversation_files(spark, sf_dir) -> DataFrame:
