@@ -3,16 +3,22 @@
 A document's set holds its distinct word n-grams as 59-bit hashes.  Equal sets form one
 class, named by a 64-bit signature of the set; all later work is on classes.
 
-1. Global order.  Frequencies are counted over all classes in a table of fixed size; n-grams
-   are ordered from rare to frequent, so shared passages come last.
+1. Global order.  N-grams of all classes are counted by 40 bits of their hashes, which travel
+   packed in a few rows for each task.  Those that COMMON sets or more share are ordered by
+   the logarithm of their count behind all others, so shared passages come last.  If there
+   are more of them than COMMON_CELLS, the count from which they are told apart rises; the
+   order changes what work is done, never the result.
 2. Index.  A class lists its first |x| - ceil(t|x|) + 1 n-grams with its size and their
    positions.  Two sets with Jaccard >= t share a listed n-gram.
 3. Index skipping.  A list is sorted by size, then position.  Its leader's block ends where
    sizes can no longer reach t, and 1 + min(rest of x, rest of z) below the needed overlap
-   skips an entry at its position.
-4. Answers by relation.  Each class is first checked against one leader only, which settles
-   nearly all members of a group of copies.  Of lists whose classes already are in one
-   component nothing more is asked.  Between components the leaders r, s are compared, and
+   skips an entry at its position.  Entries of common n-grams also carry the parities of
+   their set over 1024 cells: two sets differ in at least as many elements as parities, which
+   refutes most pairs of unlike sets before they leave their list.
+4. Answers by relation.  Each class is first checked against one leader only, then against
+   the class of each long list whose parities are nearest, which settles nearly all members
+   of a group of copies.  Of lists whose classes already are in one component nothing more is asked.
+   Between components the leaders r, s are compared, and
    members' answers follow from the leaders': with |x D r| = a, |z D s| = b known exactly,
    |r D s| - a - b <= |x D z| <= |r D s| + a + b.  Only pairs these bounds leave open are
    checked themselves.
@@ -34,11 +40,14 @@ from ._components import components
 from ._spark import cut, ship, shuffle_partitions
 
 N, NUMER, DENOM = 5, 4, 5  # words of a shingle; threshold 4/5
-SKETCH = 1 << 19
-SKETCH_BLOCK = 1 << 16
+COMMON, COMMON_CELLS = 16, 8_000_000
+ID_BITS = 40  # of 59
+BUCKETS_A_PARTITION = 8
 ROUTE_KEYS = 2_000_000
 LIST_CHUNK = 2000
-GROUP_MEMBERS = 500
+NEAREST_ROUNDS = 2
+GROUP_MEMBERS = 100
+SIGNATURE_WORDS = 16
 
 
 def _needed(total, numer, denom):
@@ -71,137 +80,201 @@ def _signature(s: np.ndarray) -> int:
     return int(T.mix(np.array([total ^ np.uint64(len(s) * 0x9E3779B97F4A7C15 % (1 << 64))], np.uint64)).view(np.int64)[0])
 
 
-def _describe(id_col, text_col, n, cells):
-    """(id, size, class) of every document, and the task's frequency table in blocks."""
-    names = ["id", "size", "key", "block", "counts"]
+def _describe(id_col, text_col, n):
+    """(id, size, class, parities) of every document; parities only where the task first meets
+    the class."""
 
     def run(batches):
-        table, seen = np.zeros(cells, np.int32), set()
+        seen = set()
         for batch in batches:
             ids = T.column(batch, id_col)
-            size, key = np.zeros(len(ids), np.int32), [None] * len(ids)
+            size, key, parities = np.zeros(len(ids), np.int32), [None] * len(ids), [None] * len(ids)
             for i, s in _sets(batch, text_col, n):
                 size[i], key[i] = len(s), _signature(s)
                 if key[i] not in seen:
                     if len(seen) < 1_000_000:
                         seen.add(key[i])
-                    np.add.at(table, (s % np.uint64(cells)).astype(np.int64), 1)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(size), pa.array(key, pa.int64()), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())], names)
-        blocks = [b for b in range(0, cells, SKETCH_BLOCK) if table[b : b + SKETCH_BLOCK].any()]
-        if blocks:
-            k = len(blocks)
-            counts = pa.array([table[b : b + SKETCH_BLOCK].astype("<i8").tobytes() for b in blocks], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, ids.type), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.array([b // SKETCH_BLOCK for b in blocks], pa.int32()), counts], names)
+                    parities[i] = _parities(s, 128 << max(0, (2 * len(s) - 1).bit_length() - 7))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(size), pa.array(key, pa.int64()), pa.array(parities, pa.binary())], ["id", "size", "key", "parities"])
 
     return run
 
 
-def _sum_blocks(batches):
-    held: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for b, c in zip(T.column(batch, "block").to_pylist(), T.column(batch, "counts").to_pylist(), strict=True):
-            c = np.frombuffer(c, "<i8")
-            held[b] = held[b] + c if b in held else c
-    for b, c in held.items():
-        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([c.tobytes()], pa.binary())], ["block", "counts"])
+def _classes(batch, text_col, n, seen: set):
+    """Class and set of the texts whose class the task has not met yet (as far as it can
+    remember: a class that comes again costs work, not results)."""
+    for _, s in _sets(batch, text_col, n):
+        key = _signature(s)
+        if key not in seen:
+            if len(seen) < 1_000_000:
+                seen.add(key)
+            yield key, s
 
 
-def _levels(rows: DataFrame, cells: int) -> np.ndarray:
-    """By cell: 0 for up to four times the mean load, one more for each doubling beyond, 31 at most."""
-    kind = "block int, counts binary"
-    part = rows.repartition(shuffle_partitions(rows.sparkSession), "block", F.floor(F.rand(7) * 16)).mapInArrow(_sum_blocks, kind)
-    total = part.repartition(max(1, cells // SKETCH_BLOCK), "block").mapInArrow(_sum_blocks, kind)
-    table = np.zeros(cells, np.int64)
-    for r in total.collect():  # as many rows as the table has blocks
-        table[r["block"] * SKETCH_BLOCK : r["block"] * SKETCH_BLOCK + len(r["counts"]) // 8] += np.frombuffer(r["counts"], "<i8")[: cells - r["block"] * SKETCH_BLOCK]
-    usual = max(4.0, 4 * table.mean())
-    return np.clip(np.ceil(np.log2(np.maximum(table, 1) / usual)), 0, 31).astype(np.uint8)
+def _packed(text_col, n, buckets):
+    """The 40 bits of all n-grams of the task's classes, packed by bucket."""
+    width = (1 << ID_BITS) // buckets
 
+    def pack(held):
+        ids = np.sort(np.concatenate(held)) >> np.uint64(59 - ID_BITS)
+        cuts = np.searchsorted(ids, np.arange(buckets + 1, dtype=np.uint64) * np.uint64(width))
+        some = np.flatnonzero(np.diff(cuts))
+        grams = pa.array([(ids[cuts[b] : cuts[b + 1]] - np.uint64(b * width)).astype("<u4").tobytes() for b in some.tolist()], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), grams], ["bucket", "grams"])
+
+    def run(batches):
+        held, rows, seen = [], 0, set()
+        for batch in batches:
+            for _, s in _classes(batch, text_col, n, seen):
+                held.append(s)
+                rows += len(s)
+                if rows > 4_000_000:
+                    yield pack(held)
+                    held, rows = [], 0
+        if held:
+            yield pack(held)
+
+    return run
 
-def _list_entries(text_col, n, numer, denom, levels_of):
-    """(gram, key, size, pos) of the listed n-grams, once for each class of a task."""
+
+def _common(least: int, width: int):
+    """Rows sorted by bucket -> 40-bit ids with at least that many sets."""
 
     def run(batches):
-        levels, seen = levels_of.value, set()
-        cells = np.uint64(len(levels))
+        bucket, held = None, []
+
+        def done():
+            ids = np.sort(np.concatenate(held))
+            at = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+            n = np.diff(np.append(at, len(ids)))
+            often = n >= least
+            return pa.RecordBatch.from_arrays([pa.array(ids[at[often]].astype(np.int64) + bucket * width), pa.array(n[often].astype(np.int64))], ["gram", "n"])
+
+        for batch in batches:
+            for b, raw in zip(T.column(batch, "bucket").to_pylist(), T.column(batch, "grams"), strict=True):
+                if b != bucket:
+                    if held:
+                        yield done()
+                    bucket, held = b, []
+                held.append(np.frombuffer(raw.as_buffer(), "<u4"))
+        if held:
+            yield done()
+
+    return run
 
-        def made():
-            size = [m for _, m, _ in held]
-            listed = [len(p) for _, _, p in held]
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([p for _, _, p in held]).view(np.int64)),
-                    pa.array(np.repeat(np.array([k for k, _, _ in held], np.int64), listed)),
-                    pa.array(np.repeat(np.array(size, np.int32), listed)),
-                    pa.array(T.ragged(np.zeros(len(held), np.int64), np.array(listed)).astype(np.int32)),
-                ],
-                ["gram", "key", "size", "pos"],
-            )
 
+def _levels(rows: DataFrame, buckets: int, least: int, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted ids of common n-grams, their levels (1 to 31), and a bitmap that most others miss."""
+    width = (1 << ID_BITS) // buckets
+    counted = cut(rows.repartition(shuffle_partitions(rows.sparkSession), "bucket").sortWithinPartitions("bucket").mapInArrow(_common(least, width), "gram long, n long"))
+    total, bound = 0, None
+    for r in counted.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
+        total += r["count"]
+        if total > cells:
+            break
+        bound = r["n"]
+    table = counted.filter(F.col("n") >= (bound or 1 << 62)).toArrow()
+    ids, n = table.column("gram").to_numpy().astype(np.uint64), table.column("n").to_numpy()
+    order = np.argsort(ids)
+    bitmap = np.zeros(1 << 24, bool)
+    bitmap[ids.astype(np.int64) & (len(bitmap) - 1)] = True
+    return ids[order], np.clip(np.log2(np.maximum(n[order], 2)), 1, 31).astype(np.uint8), np.packbits(bitmap, bitorder="little")
+
+
+def _ordered(s: np.ndarray, ids, levels, bitmap) -> np.ndarray:
+    """The set as (level, hash) numbers, sorted."""
+    if not len(ids):
+        return s
+    own = s >> np.uint64(59 - ID_BITS)
+    low = (own & np.uint64(8 * len(bitmap) - 1)).astype(np.int64)
+    maybe = np.flatnonzero((bitmap[low >> 3] >> (low & 7).astype(np.uint8)) & 1)
+    if not len(maybe):
+        return s
+    at = np.minimum(np.searchsorted(ids, own[maybe]), len(ids) - 1)
+    level = np.where(ids[at] == own[maybe], levels[at], 0).astype(np.uint64)
+    out = s.copy()
+    out[maybe] |= level << np.uint64(59)
+    out.sort()
+    return out
+
+
+def _parities(s: np.ndarray, cells: int = 64 * SIGNATURE_WORDS) -> bytes:
+    """Whether an odd number of elements falls in each cell; cells is a power of two."""
+    return np.packbits((np.bincount((s % np.uint64(cells)).astype(np.int64), minlength=cells) & 1).astype(np.uint8)).tobytes()
+
+
+def _list_entries(text_col, n, numer, denom, levels_of):
+    """(gram, place, key, parities) of the listed n-grams, once for each class of a task; place
+    is the set's size times 2**32 plus the n-gram's position.  Only common n-grams have
+    parities: they alone have long lists."""
+
+    def made(held):
+        size, listed = np.array([m for _, m, _, _ in held], np.int64), np.array([len(p) for _, _, p, _ in held])
+        place = (np.repeat(size, listed) << 32) + T.ragged(np.zeros(len(held), np.int64), listed)
+        keys = np.repeat(np.array([k for k, _, _, _ in held], np.int64), listed)
+        grams = np.concatenate([p for _, _, p, _ in held])
+        parities = pa.array([h[3] for h in held], pa.binary()).take(pa.array(np.repeat(np.arange(len(held)), listed), mask=grams < np.uint64(1 << 59)))
+        return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(place), pa.array(keys), parities], ["gram", "place", "key", "parities"])
+
+    def run(batches):
+        table, seen = levels_of.value, set()
         for batch in batches:
             held, rows = [], 0
-            for _, s in _sets(batch, text_col, n):
-                key = _signature(s)
-                if key in seen:
-                    continue
-                if len(seen) < 1_000_000:
-                    seen.add(key)
-                order = np.sort((levels[(s % cells).astype(np.int64)].astype(np.uint64) << np.uint64(59)) | s)
+            for key, s in _classes(batch, text_col, n, seen):
                 m = len(s)
-                held.append((key, m, order[: m - -(-numer * m // denom) + 1]))
+                listed = _ordered(s, *table)[: m - -(-numer * m // denom) + 1]
+                held.append((key, m, listed, _parities(s) if listed[-1] >= np.uint64(1 << 59) else None))
                 rows += len(held[-1][2])
                 if rows > 50_000:
-                    yield made()
+                    yield made(held)
                     held, rows = [], 0
             if held:
-                yield made()
+                yield made(held)
 
     return run
 
 
-_ENTRY = ["gram", "key", "size", "pos"]
+_ENTRY = ["gram", "key", "size", "pos", "parities"]
 
 
 def _shared(numer, denom):
-    """Rows sorted by gram, size, pos, key -> the entries of grams with two classes or more,
-    each with the leader whose block it falls in (null for a leader)."""
+    """Rows sorted by gram, place, key -> the entries of grams with two classes or more, each
+    with the leader whose block it falls in (null for a leader) and the entry before it.  Holds
+    four leaders at most."""
 
     def run(batches):
-        gram, leaders, first = None, [], None
-        last_key, first_out = None, True
+        gram, leaders, first, last_key, alone = None, [], None, None, False
         for batch in batches:
-            cols = [T.column(batch, c).to_numpy() for c in _ENTRY]
-            g = cols[0]
+            g, place, key = (T.column(batch, c).to_numpy() for c in ("gram", "place", "key"))
             if not len(g):
                 continue
             # rows that surely stand alone are dropped without a look
             near = np.zeros(len(g), bool)
             near[1:] = g[1:] == g[:-1]
             near[:-1] |= near[1:]
-            near[0] |= True
-            near[-1] |= True
+            near[0] = near[-1] = True
             out = []
-            for x in zip(*(c[near].tolist() for c in cols), strict=True):
+            parities = T.column(batch, "parities").filter(pa.array(near)).to_pylist()
+            for x in zip(g[near].tolist(), key[near].tolist(), (place[near] >> 32).tolist(), (place[near] & 0xFFFFFFFF).tolist(), parities, strict=True):
                 if x[0] != gram:
-                    gram, first, last_key, first_out = x[0], x, x[1], False
+                    gram, first, last_key, alone = x[0], x, x[1], True
                     leaders = [x]
                     continue
-                if x[1] == last_key:
+                if x[1] == last_key:  # the class again, from another task
                     continue
-                last_key = x[1]
-                if not first_out:
+                before, last_key = last_key, x[1]
+                if alone:
                     out.append((*first, None, None))
-                    first_out = True
+                    alone = False
                 while leaders and numer * x[2] > denom * leaders[0][2]:
                     leaders.pop(0)  # its block has ended
-                need = x[2]
-                own = next((y for y in leaders if 1 + min(y[2] - y[3], x[2] - x[3]) - 1 >= _needed(y[2] + need, numer, denom)), None)
+                own = next((y[1] for y in leaders if min(y[2] - y[3], x[2] - x[3]) >= _needed(y[2] + x[2], numer, denom)), None)
                 if own is None and len(leaders) < 4:
                     leaders.append(x)
-                out.append((*x, own and own[1], own and own[2]))
+                out.append((*x, own, before if own is not None and before != own else None))
             if out:
-                a = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(a, [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()], strict=True)], [*_ENTRY, "leader", "leader_size"])
+                cols = zip(zip(*out, strict=True), [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in cols], [*_ENTRY, "leader", "before"])
 
     return run
 
@@ -209,31 +282,51 @@ def _shared(numer, denom):
 # --- comparing full sets ----------------------------------------------------------------
 
 
+_SEND_BYTES = 8 << 20
+
+
 def _send(text_col, n, route_of):
     """(a, part, role, key, members) for the groups a class is needed in."""
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 
     def run(batches):
         keys, first, groups, parts, roles = route_of.value
+        out, size, seen = [], 0, set()
+
+        def made():
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["a", "part", "role", "key", "members"])
+
         for batch in batches:
-            out = []
-            for _, s in _sets(batch, text_col, n):
-                key = _signature(s)
+            for key, s in _classes(batch, text_col, n, seen):
                 at = int(np.searchsorted(keys, key))
                 if at < len(keys) and keys[at] == key:
                     raw = s.tobytes()
-                    out += [(int(groups[j]), int(parts[j]), int(roles[j]), key, raw) for j in range(first[at], first[at + 1])]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()], strict=True)], ["a", "part", "role", "key", "members"])
+                    for j in range(first[at], first[at + 1]):
+                        out.append((int(groups[j]), int(parts[j]), int(roles[j]), key, raw))
+                        size += len(raw)
+                        if size > _SEND_BYTES:
+                            yield made()
+                            out, size = [], 0
+        if out:
+            yield made()
 
     return run
 
 
 def _send_all(text_col, n):
+    """(key, members) of every class of a task."""
+
     def run(batches):
+        seen, out, size = set(), [], 0
         for batch in batches:
-            out = [(_signature(s), s.tobytes()) for _, s in _sets(batch, text_col, n)]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64(), pa.binary()], strict=True)], ["key", "members"])
+            for key, s in _classes(batch, text_col, n, seen):
+                out.append((key, s.tobytes()))
+                size += len(out[-1][1])
+                if size > _SEND_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64(), pa.binary()], strict=True)], ["key", "members"])
+                    out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64(), pa.binary()], strict=True)], ["key", "members"])
 
     return run
 
@@ -270,7 +363,10 @@ def _overlaps(docs: DataFrame, pairs: DataFrame, text_col: str, n: int, route_ke
     route = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), F.col("b").alias("key"))
     route = route.unionByName(route.select("a", "part", F.lit(0).alias("role"), F.col("a").alias("key")).distinct())
     route = cut(route)
-    if route.count() <= route_keys:
+    n_routes = route.count()
+    if not n_routes:
+        return spark.createDataFrame([], "a long, b long, size_a long, size_b long, overlap long")
+    if n_routes <= route_keys:
         rows = [route.select("key", "a", "part", "role").toArrow()]
         cols = [rows[0].column(i).to_numpy() for i in range(4)]
         order = np.argsort(cols[0], kind="stable")
@@ -286,77 +382,120 @@ def _overlaps(docs: DataFrame, pairs: DataFrame, text_col: str, n: int, route_ke
 # --- pairs between components -----------------------------------------------------------
 
 
-def _cross(numer, denom, deep: bool):
-    """Rows sorted by gram, c1, c2: pairs of different components that the filters leave.
-
-    Not deep: pairs of leaders (root, other root).  Deep: pairs of classes that the bounds
-    from their leaders' distance leave open are decided after a join with it, so they carry
-    both roots and the sum of their distances to them."""
-
-    def pairs(rows):
-        key, size, pos, comp, root, far, chunk = (np.array(c) for c in zip(*rows, strict=True))
-        order = np.lexsort((pos, size))
-        key, size, pos, comp, root, far, chunk = (c[order] for c in (key, size, pos, comp, root, far, chunk))
-        both = chunk.min() != chunk.max()
-        top = np.searchsorted(size, size * denom // numer, "right")  # the last partner in reach, by size
-        for i in range(len(key)):
-            j = slice(i + 1, int(top[i]))
-            s = size[i] + size[j]
-            ok = (comp[j] != comp[i]) & (np.minimum(size[i] - pos[i], size[j] - pos[j]) >= -(-numer * s // (numer + denom)))
-            if both:
-                ok &= chunk[j] != chunk[i]
-            at = i + 1 + np.flatnonzero(ok)
-            if len(at):
-                yield i, at, key, size, root, far
-
-    def emit(rows, seen):
-        out = []
-        for i, at, key, size, root, far in pairs(rows):
-            if deep:
-                for j in at.tolist():
-                    p = (key[i], key[j]) if key[i] < key[j] else (key[j], key[i])
-                    r = (root[i], root[j]) if root[i] < root[j] else (root[j], root[i])
-                    out.append((*p, *r, far[i] + far[j], size[i] + size[j]))
-            else:
-                for r in np.unique(root[at]).tolist():
-                    p = (root[i], r) if root[i] < r else (r, root[i])
-                    if p not in seen:
-                        if len(seen) < 1_000_000:
-                            seen.add(p)
-                        out.append(p)
-        return out
-
-    names = ["a", "b", *["ra", "rb", "far", "total"] * deep]
+def _cross(numer, denom, nearest: bool):
+    """Rows sorted by gram, c1, c2, size, pos: pairs (a, b) of classes in different components
+    that the filters leave.  nearest: of entries with parities, and for each only the pair
+    with the fewest differing ones, so that a list gives no more pairs than it has entries."""
+
+    def pairs(c):
+        """Entries i and j = i + d of one group, for all groups at once and d = 1, 2, ..."""
+        gram, c1, c2, key, size, pos, comp, chunk, signed, parities = c
+        group = np.cumsum(np.append(False, (gram[1:] != gram[:-1]) | (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1])))
+        i, d = np.arange(len(gram)), 0
+        if nearest:
+            i = i[signed]
+            best, other = np.full(len(gram), np.iinfo(np.int64).max), np.full(len(gram), -1)
+        while True:
+            d += 1
+            i = i[i + d < len(gram)]
+            i = i[(group[i + d] == group[i]) & (numer * size[i + d] <= denom * size[i])]  # else i's block has ended
+            if not len(i):
+                break
+            j = i + d
+            ok = (comp[i] != comp[j]) & (np.minimum(size[i] - pos[i], size[j] - pos[j]) >= -(-numer * (size[i] + size[j]) // (numer + denom)))
+            # a pair within one chunk belongs to that chunk's own group
+            ok &= (c1[i] == c2[i]) | (chunk[i] != chunk[j])
+            i_, j_ = i[ok], j[ok]
+            both = np.flatnonzero(signed[i_] & signed[j_])
+            if len(both):
+                a, b = i_[both], j_[both]
+                differ = np.bitwise_count(parities[a] ^ parities[b]).sum(1, dtype=np.int64)
+                fits = np.ones(len(i_), bool)
+                fits[both] = differ <= (size[a] + size[b]) * (denom - numer) // (numer + denom)
+                if nearest:
+                    differ, a, b = differ[fits[both]], a[fits[both]], b[fits[both]]
+                    for x, y in ((a, b), (b, a)):  # at one distance d an entry stands once on either side
+                        closer = differ < best[x]
+                        best[x[closer]], other[x[closer]] = differ[closer], y[closer]
+                i_, j_ = i_[fits], j_[fits]
+            if len(i_) and not nearest:
+                yield np.minimum(key[i_], key[j_]), np.maximum(key[i_], key[j_])
+        if nearest:
+            i_ = np.flatnonzero(other >= 0)
+            yield np.minimum(key[i_], key[other[i_]]), np.maximum(key[i_], key[other[i_]])
+
+    def emit(held):
+        found = list(pairs([np.concatenate(c) for c in zip(*held, strict=True)]))
+        if found:
+            cols = [np.concatenate(c) for c in zip(*found, strict=True)]
+            order = np.lexsort((cols[1], cols[0]))
+            a, b = cols[0][order], cols[1][order]
+            once = order[:0] if not len(a) else order[np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))]
+            yield pa.RecordBatch.from_arrays([pa.array(c[once]) for c in cols], ["a", "b"])
 
     def run(batches):
-        group, held, seen = None, [], set()
-
-        def done():
-            if len(held) > 1 and (out := emit(held, seen)):
-                yield pa.RecordBatch.from_arrays([pa.array([int(v) for v in c], pa.int64()) for c in zip(*out, strict=True)], names)
-
+        held = []  # whole groups and the last, maybe unfinished one
         for batch in batches:
-            cols = [T.column(batch, c).to_pylist() for c in ("gram", "c1", "c2", "key", "size", "pos", "comp", "root", "far", "chunk")]
-            for g, c1, c2, *x in zip(*cols, strict=True):
-                if (g, c1, c2) != group:
-                    yield from done()
-                    group, held = (g, c1, c2), []
-                held.append(x)
-        yield from done()
+            c = [T.column(batch, x).to_numpy().astype(np.int64) for x in ("gram", "c1", "c2", "key", "size", "pos", "comp", "chunk")]
+            if not len(c[0]):
+                continue
+            raw = T.column(batch, "parities")
+            signed = raw.is_valid().to_numpy(zero_copy_only=False)
+            words = np.zeros((len(signed), SIGNATURE_WORDS), np.uint64)
+            if signed.any():
+                words[signed] = np.frombuffer(b"".join(raw.drop_null().to_pylist()), np.uint64).reshape(-1, SIGNATURE_WORDS)
+            c += [signed, words]
+            new = np.flatnonzero((c[0][1:] != c[0][:-1]) | (c[1][1:] != c[1][:-1]) | (c[2][1:] != c[2][:-1])) + 1
+            starts_new = held and any(held[-1][k][-1] != c[k][0] for k in range(3))
+            cut_at = int(new[-1]) if len(new) else 0
+            if cut_at or starts_new:
+                yield from emit([*held, [x[:cut_at] for x in c]])
+                held = [[x[cut_at:] for x in c]]
+            else:
+                held.append(c)
+        if held:
+            yield from emit(held)
 
     return run
 
 
-def _between(entries: DataFrame, labels: DataFrame, numer, denom, deep: bool, chunk: int) -> DataFrame:
+def _between(entries: DataFrame, labels: DataFrame, numer, denom, chunk: int, nearest: bool = False) -> DataFrame:
     """Candidate pairs of entries in different components, distinct."""
-    e = entries.join(labels, "key", "left").select("gram", "key", "size", "pos", F.coalesce("comp", "key").alias("comp"), F.coalesce("root", "key").alias("root"), F.coalesce("far", F.lit(0)).alias("far"))
+    if nearest:
+        entries = entries.filter("parities is not null")
+    e = entries.join(labels.select("key", "comp"), "key", "left").select(*_ENTRY, F.coalesce("comp", "key").alias("comp"))
     mixed = e.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo <> hi").select("gram", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
     e = e.join(mixed, "gram").withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
     e = e.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     e = e.withColumn("c1", F.least("chunk", "other")).withColumn("c2", F.greatest("chunk", "other"))
-    schema = "a long, b long" + ", ra long, rb long, far long, total long" * deep
-    e = e.repartition(shuffle_partitions(entries.sparkSession), "gram", "c1", "c2").sortWithinPartitions("gram", "c1", "c2")
-    return e.mapInArrow(_cross(numer, denom, deep), schema).distinct()
+    e = e.repartition(shuffle_partitions(entries.sparkSession), "gram", "c1", "c2").sortWithinPartitions("gram", "c1", "c2", "size", "pos")
+    return e.mapInArrow(_cross(numer, denom, nearest), "a long, b long").distinct()
+
+
+def _fold(raw: bytes, size: int) -> np.ndarray:
+    """Parities over the first `size` bytes' cells; cells are halved by adding the halves."""
+    bits = np.frombuffer(raw, np.uint8)
+    while len(bits) > size:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
+def _refute(numer, denom):
+    """(a, b, size_a, size_b, differ) of the pairs that parities do not refute."""
+
+    def run(batches):
+        for batch in batches:
+            a, b = (T.column(batch, c) for c in ("pa", "pb"))
+            sizes = [T.column(batch, c).to_numpy().astype(np.int64) for c in ("size_a", "size_b")]
+            most = (sizes[0] + sizes[1]) * (denom - numer) // (numer + denom)
+            differ = np.zeros(len(a), np.int64)
+            for i, (x, y) in enumerate(zip(a.to_pylist(), b.to_pylist(), strict=True)):
+                n = min(len(x), len(y))
+                differ[i] = np.bitwise_count(_fold(x, n) ^ _fold(y, n)).sum(dtype=np.int64)
+            keep = pa.array(differ <= most)
+            yield pa.RecordBatch.from_arrays([T.column(batch, c).filter(keep) for c in ("a", "b", "size_a", "size_b")] + [pa.array(differ).filter(keep)], ["a", "b", "size_a", "size_b", "differ"])
+
+    return run
 
 
 def _links(checked: DataFrame, numer, denom) -> DataFrame:
@@ -364,7 +503,7 @@ def _links(checked: DataFrame, numer, denom) -> DataFrame:
 
 
 def jaccard_components(
-    docs: DataFrame, id_col="doc_id", text_col="text", n: int = N, numer: int = NUMER, denom: int = DENOM, cells: int = SKETCH, route_keys: int = ROUTE_KEYS, list_chunk: int = LIST_CHUNK
+    docs: DataFrame, id_col="doc_id", text_col="text", n: int = N, numer: int = NUMER, denom: int = DENOM, common: int = COMMON, common_cells: int = COMMON_CELLS, route_keys: int = ROUTE_KEYS, list_chunk: int = LIST_CHUNK
 ) -> DataFrame:
     """id_col, n_shingles, component_id: the smallest id reachable over links, its own included.
 
@@ -381,44 +520,87 @@ def jaccard_components(
     docs = docs.select(F.col(id_col), F.col(text_col).cast("string").alias(text_col))
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(text_col)
-    described = cut(docs.mapInArrow(_describe(id_col, text_col, n, cells), f"id {kind}, size int, key long, block int, counts binary"))
-    own = described.filter("block is null").select("id", "size", "key")
-    levels = spark.sparkContext.broadcast(_levels(described.filter("block is not null").select("block", "counts"), cells))
+    own = cut(docs.mapInArrow(_describe(id_col, text_col, n), f"id {kind}, size int, key long, parities binary"))
+    buckets = 1 << max(8, (BUCKETS_A_PARTITION * shuffle_partitions(spark) - 1).bit_length())
+    levels = spark.sparkContext.broadcast(_levels(texts.mapInArrow(_packed(text_col, n, buckets), "bucket int, grams binary"), buckets, common, common_cells))
+
+    listed = texts.mapInArrow(_list_entries(text_col, n, numer, denom, levels), "gram long, place long, key long, parities binary")
+    listed = listed.repartition(shuffle_partitions(spark), "gram").sortWithinPartitions("gram", "place", "key")
+    entries = cut(listed.mapInArrow(_shared(numer, denom), "gram long, key long, size int, pos int, parities binary, leader long, before long"))
 
-    listed = texts.mapInArrow(_list_entries(text_col, n, numer, denom, levels), "gram long, key long, size int, pos int")
-    listed = listed.repartition(shuffle_partitions(spark), "gram").sortWithinPartitions("gram", "size", "pos", "key")
-    entries = cut(listed.mapInArrow(_shared(numer, denom), "gram long, key long, size int, pos int, leader long, leader_size int"))
+    described = own.filter("parities is not null").groupBy("key").agg(F.first("size").cast("long").alias("size"), F.first("parities").alias("p"))
 
-    # a class and the leader it met most often
-    first = entries.filter("leader is not null").groupBy("key", "leader").agg(F.count("*").alias("n"))
-    first = first.groupBy("key").agg(F.max(F.struct("n", "leader")).alias("m")).select(F.col("m.leader").alias("a"), F.col("key").alias("b"))
+    def refuted(pairs):
+        """pairs (a, b) that parities leave, with sizes and differing parities"""
+        for x in "ab":
+            pairs = pairs.join(described.select(F.col("key").alias(x), F.col("size").alias(f"size_{x}"), F.col("p").alias(f"p{x}")), x)
+        return cut(pairs.mapInArrow(_refute(numer, denom), "a long, b long, size_a long, size_b long, differ long"))
+
+    # a class and, of the leaders and neighbours it met, the one that its parities are nearest to
+    met = entries.filter("leader is not null").select(F.col("key").alias("b"), F.explode(F.array("leader", "before")).alias("a")).filter("a is not null").distinct()
+    first = refuted(met).groupBy("b").agg(F.min(F.struct("differ", "a")).alias("m")).select("m.a", "b")
     near = _overlaps(texts, first, text_col, n, route_keys)
-    edges = _links(near, numer, denom)
-    comps = components(edges)
+    def joined(edges, comps, checked):
+        """edges and components with the links among checked pairs; and whether there were any"""
+        new = cut(_links(checked, numer, denom))
+        if new.isEmpty():
+            return edges, comps, False
+        edges = edges.unionByName(new)
+        return edges, cut(components(edges).select(F.col("node").alias("key"), F.col("component").alias("comp"))), True
+
+    edges, comps, _ = joined(spark.createDataFrame([], "u long, v long"), spark.createDataFrame([], "key long, comp long"), near)
+
+    # of common n-grams' lists each class is checked against its nearest in another component
+    lists = entries.select(*_ENTRY)
+    for _ in range(NEAREST_ROUNDS):
+        close = refuted(_between(lists, comps, numer, denom, list_chunk, True))
+        close = close.select("a", "b", "differ", F.col("a").alias("of")).unionByName(close.select("a", "b", "differ", F.col("b").alias("of")))
+        close = close.groupBy("of").agg(F.min(F.struct("differ", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
+        edges, comps, some = joined(edges, comps, _overlaps(texts, close, text_col, n, route_keys))
+        if not some:
+            break
     # the distance to the leader serves where the leader is no member of another one
-    linked = near.join(edges.select(F.col("u").alias("a"), F.col("v").alias("b")), ["a", "b"], "left_semi")
+    linked = near.join(_links(near, numer, denom).select(F.col("u").alias("a"), F.col("v").alias("b")), ["a", "b"], "left_semi")
     tops = linked.select("a").distinct().join(linked.select(F.col("b").alias("a")), "a", "left_anti")
     roots = linked.join(tops, "a").select(F.col("b").alias("key"), F.col("a").alias("root"), (F.col("size_a") + F.col("size_b") - 2 * F.col("overlap")).alias("far"))
-    labels = cut(comps.select(F.col("node").alias("key"), F.col("component").alias("comp")).join(roots, "key", "left").select("key", "comp", F.coalesce("root", "key").alias("root"), F.coalesce("far", F.lit(0)).alias("far")))
+    labels = cut(comps.join(roots, "key", "left").select("key", "comp", F.coalesce("root", "key").alias("root"), F.coalesce("far", F.lit(0)).alias("far")))
 
-    lists = entries.select(*_ENTRY)
-    leaders = cut(_between(lists, labels, numer, denom, False, list_chunk))
-    apart = _overlaps(texts, leaders, text_col, n, route_keys)
-    more = _links(apart, numer, denom)
-    comps = cut(components(edges.unionByName(more)))
-    labels = comps.select(F.col("node").alias("key"), F.col("component").alias("comp")).join(labels.drop("comp"), "key", "left")
+    pairs = refuted(_between(lists, labels, numer, denom, list_chunk))
+
+    # of these, each class is checked against the one that its parities are nearest to
+    ends = pairs.select("a", "b", "differ", F.col("a").alias("of"), F.col("b").alias("to")).unionByName(pairs.select("a", "b", "differ", F.col("b").alias("of"), F.col("a").alias("to")))
+    nearest = ends.groupBy("of").agg(F.min(F.struct("differ", "to", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
+    beside = _overlaps(texts, nearest, text_col, n, route_keys)
+    edges, comps, _ = joined(edges, comps, beside)
+
+    def apart_in(comps, pairs):
+        """pairs in different components"""
+        for x in "ab":
+            pairs = pairs.join(comps.select(F.col("key").alias(x), F.col("comp").alias(f"c_{x}")), x, "left")
+        return pairs.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).drop("c_a", "c_b")
+
+    pairs = apart_in(comps, pairs).join(beside.select("a", "b"), ["a", "b"], "left_anti")
+
+    # and of those still between components the leaders
+    at = lambda end: labels.select(F.col("key").alias(end), F.col("root").alias(f"root_{end}"), F.col("far").alias(f"far_{end}"))
+    pairs = pairs.join(at("a"), "a", "left").join(at("b"), "b", "left")
+    pairs = pairs.select("a", "b", *(F.coalesce(f"root_{x}", x).alias(f"root_{x}") for x in "ab"), (F.coalesce("far_a", F.lit(0)) + F.coalesce("far_b", F.lit(0))).alias("far"), (F.col("size_a") + F.col("size_b")).alias("total"))
+    pairs = pairs.select("a", "b", F.least("root_a", "root_b").alias("ra"), F.greatest("root_a", "root_b").alias("rb"), "far", F.floor(F.col("total") * (denom - numer) / (numer + denom)).alias("most"))
+    apart = _overlaps(texts, pairs.select(F.col("ra").alias("a"), F.col("rb").alias("b")).filter("a <> b").distinct(), text_col, n, route_keys)
+    edges, comps, _ = joined(edges, comps, apart)
 
-    open_ = _between(lists, labels, numer, denom, True, list_chunk)
+    # what the leaders' distance says of the pairs that are still in different components
     known = apart.select(F.least("a", "b").alias("ra"), F.greatest("a", "b").alias("rb"), (F.col("size_a") + F.col("size_b") - 2 * F.col("overlap")).alias("between"))
-    open_ = open_.join(known, ["ra", "rb"], "left").withColumn("most", F.floor(F.col("total") * (denom - numer) / (numer + denom)))
+    open_ = apart_in(comps, pairs).join(known, ["ra", "rb"], "left")
+    themselves = (F.col("ra") == F.least("a", "b")) & (F.col("rb") == F.greatest("a", "b"))
     sure = F.coalesce(F.col("between") + F.col("far") <= F.col("most"), F.lit(False))
-    out_of_reach = F.coalesce(F.col("between") - F.col("far") > F.col("most"), F.lit(False))
-    settled = (F.col("ra") == F.col("a")) & (F.col("rb") == F.col("b")) | (F.col("ra") == F.col("b")) & (F.col("rb") == F.col("a"))
-    open_ = cut(open_.filter(~out_of_reach).withColumn("sure", sure).filter(F.col("sure") | F.col("between").isNull() | ~settled).select("a", "b", "sure").distinct())
+    refuted = F.coalesce((F.col("between") - F.col("far") > F.col("most")) | (themselves & F.col("between").isNotNull()), F.lit(False))
+    open_ = cut(open_.withColumn("sure", sure).filter(F.col("sure") | ~refuted).select("a", "b", "sure").distinct())
     last = _overlaps(texts, open_.filter("not sure").select("a", "b"), text_col, n, route_keys)
-    comps = components(edges.unionByName(more).unionByName(_links(last, numer, denom)).unionByName(open_.filter("sure").select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    sure = open_.filter("sure").select("a", "b", F.lit(1).cast("long").alias("size_a"), F.lit(1).cast("long").alias("size_b"), F.lit(1).cast("long").alias("overlap"))
+    edges, comps, _ = joined(edges, comps, last.unionByName(sure))
 
-    placed = own.filter("key is not null").join(comps, own["key"] == comps["node"], "left").select("id", "size", F.coalesce("component", "key").alias("c"))
+    placed = own.filter("key is not null").join(comps, "key", "left").select("id", "size", F.coalesce("comp", "key").alias("c"))
     placed = cut(placed)
     least = placed.groupBy("c").agg(F.min("id").alias("component_id"))
     alone = own.filter("key is null").select("id", "size", F.col("id").alias("component_id"))
