@@ -20,8 +20,11 @@ ODD = ["  a  b ", "a\n\nb", " lead", "trail\n", "it's we'll 'tis don't", "<|endo
 ROWS = [*EDGES, *((100 + i, t) for i, t in enumerate(ODD)), (500, "x " * 9000), (501, "end"), (501, "other"), *((600, f"k {i}") for i in range(300))]
 
 
+TOKENIZERS = {kind: Tokenizer.from_file(P.path(name)) for kind, name in FILES.items()}
+
+
 def ids_of(kind, text, end):
-    tk = Tokenizer.from_file(P.path(FILES[kind]))
+    tk = TOKENIZERS[kind]
     return np.array([*tk.encode(text or "", add_special_tokens=False).ids, end], "<u4")
 
 
@@ -73,6 +76,8 @@ def test_store_round_trip(spark, keys_per_bucket):
         assert (r.start, r.ids_crc32, 4 * r.n_tokens) == (at, zlib.crc32(r.ids), len(r.ids))
         assert (key := -1 if r.doc_id is None else r.doc_id) >= last
         at, last = at + r.n_tokens, key
+    unknown = spark.range(10_000, 10_050).withColumnRenamed("id", "doc_id")
+    assert token_store.read_keys(unknown, uri).count() == 0
     store = token_store.TokenStore(uri)
     assert [len(store.get(k)) for k in (600, 501, 2, None, 77)] == [300, 2, 2, 2, 0]
     assert store.get(500)[0].tolist() == ids_of("words", "x " * 9000, 2).tolist()

@@ -31,7 +31,9 @@ def _keyed(data: np.ndarray, offsets: np.ndarray, min_chars: int):
     """Lines of a block: start, end, lines of each text, hash of the key, whether it counts."""
     starts, ends, counts = T.lines(data, offsets)
     s, e = T.strip(data, starts, ends)
-    if min_chars <= 1:
+    if min_chars <= 0:
+        counted = np.ones(len(s), bool)
+    elif min_chars == 1:
         counted = e > s
     else:  # code points: bytes that do not continue one
         heads = T.starts_of(((data & 0xC0) != 0x80).astype(np.int64))
@@ -185,7 +187,7 @@ def dedup_lines(
 
     Every row counts as one document, also where ids repeat or are null.  A null or empty
     text has one empty line; a line of white space has an empty key, which is never dropped
-    while min_chars is 1 or more.  A text all of whose lines go becomes empty.  No rows give
+    unless min_chars is 0.  A text all of whose lines go becomes empty.  No rows give
     no rows.  Other columns of docs are ignored, so their names cannot clash.
     """
     work = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))

@@ -138,7 +138,7 @@ def pack(
     pieces = packed.filter("used is null").drop("used")
     still = packed.filter("used is not null").select("sequence_id", "used")
     group = F.shiftright("sequence_id", 40)
-    groups = 1 + (packed.rdd.getNumPartitions() - 1) // merge_tasks
+    groups = 1 + packed.rdd.getNumPartitions() // merge_tasks
     moved = cut(still.repartition(groups, F.floor(group / merge_tasks)).sortWithinPartitions("sequence_id").mapInArrow(_merge(capacity, open_bins * merge_tasks), "sequence_id long, to long, shift long"))
     return (
         pieces.join(moved, "sequence_id", "left")

@@ -7,7 +7,7 @@ Layout of a store (a folder on any file system pyarrow opens by URI):
 * ids/00000.off: places of the records in ids, n + 1 little-endian signed 64-bit integers;
 * mph/00000.idx: an index bucket: hash levels, and for each slot a 32-bit fingerprint, the
   shard, the record in the shard and the number of records of that key;
-* store.json: id width, records and ids of each shard, number of index buckets, null key.
+* store.json: id width, records and ids of each shard, index buckets, null key.
 
 A key's hash names its bucket.  In a bucket keys are hashed onto level bitmaps of twice the
 number of keys left; a key whose bit no other key takes is settled there, the rest go on to
@@ -234,10 +234,11 @@ def write_store(docs: DataFrame, uri: str, tokenizer: str, id_col="doc_id", text
     null = runs.filter("key is null").collect()
     n_buckets = 1 + sum(r["n"] for r in totals.values()) // keys_per_bucket
     index = runs.filter("key is not null").withColumn("bucket", _bucket(n_buckets))
-    index.repartition(min(n_buckets, 4 * shuffle_partitions(spark)), "bucket").sortWithinPartitions("bucket").mapInArrow(_index(uri), "bucket int, n_keys long").agg(F.sum("n_keys")).collect()
+    built = index.repartition(min(n_buckets, 4 * shuffle_partitions(spark)), "bucket").sortWithinPartitions("bucket").mapInArrow(_index(uri), "bucket int, n_keys long").collect()
     store = {
         "width": width,
         "n_buckets": n_buckets,
+        "buckets": sorted(r["bucket"] for r in built),  # those with keys; the others have no file
         "records": [totals[i]["n"] if i in totals else 0 for i in range(n)],
         "ids": [totals[i]["t"] if i in totals else 0 for i in range(n)],
         "null": [null[0]["shard"], null[0]["record"], null[0]["n"]] if null else None,
@@ -259,6 +260,12 @@ def _runs(store, shard, record, n):
         shard, record, n = shard + 1, 0, n - k
 
 
+def _bucket_file(uri: str, store: dict, bucket: int) -> Bucket:
+    if bucket in set(store["buckets"]):
+        return Bucket(_read(uri, f"mph/{bucket:05d}.idx"))
+    return Bucket(np.zeros(2, "<i8").tobytes())
+
+
 def _look_up(uri, store):
     def run(batches):
         opened: tuple[int, Bucket | None] = (-1, None)
@@ -274,7 +281,7 @@ def _look_up(uri, store):
                     found, entries = range(lo, hi), [store["null"]] * (hi - lo)
                 else:
                     if opened[0] != buckets[lo]:
-                        opened = (buckets[lo], Bucket(_read(uri, f"mph/{buckets[lo]:05d}.idx")))
+                        opened = (buckets[lo], _bucket_file(uri, store, buckets[lo]))
                     there, slot = opened[1].find(T.mix(keys.slice(lo, hi - lo).to_numpy().view(np.uint64)))
                     found = (lo + np.flatnonzero(there)).tolist()
                     e = opened[1].table[slot[there]]
@@ -346,7 +353,7 @@ class TokenStore:
         else:
             b = _spark_bucket(key, self.meta["n_buckets"])
             if b not in self.buckets:
-                self.buckets[b] = Bucket(_read(self.uri, f"mph/{b:05d}.idx"))
+                self.buckets[b] = _bucket_file(self.uri, self.meta, b)
             there, slot = self.buckets[b].find(T.mix(np.array([key], np.int64).view(np.uint64)))
             entry = self.buckets[b].table[slot[0]].tolist()[1:] if there[0] else None
         out, fs = [], _open(self.uri)
