@@ -17,7 +17,7 @@ from treeflow.llm.queries import tokenizer_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and texts of which no language has half the letters."""
+    """Drops texts without a letter and texts of which no language has two fifths of the letters."""
     ship(spark)
     return language_id.drop_unknown(docs, language_id.train(docs))
 

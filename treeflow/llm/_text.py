@@ -10,7 +10,8 @@ A byte string's hash is a polynomial over a fixed random value for each byte, ta
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +77,26 @@ def _power(base: int, n: int, name: str) -> np.ndarray:
     return out
 
 
+_holders: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, drop: Callable[[], None]) -> None:
+    """Registers what a reused worker keeps from task to task for one operator."""
+    _holders[owner] = drop
+
+
+def release(owner: str = "") -> None:
+    """Drops what other operators keep in this worker and gives free memory back, so that an
+    executor's workers do not add up the caches of a whole pipeline."""
+    for name in [n for n in _holders if n != owner]:
+        _holders.pop(name)()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: it keeps the memory for later use
+
+
 class Spans:
     """Hashes of byte spans of one block."""
 

@@ -26,8 +26,8 @@ import pyarrow as pa
 
 from . import _text as T
 
-CACHE_PARTS = 2_000_000
-GROUP = 8 << 20
+CACHE_PARTS = 1_000_000
+GROUP = 2 << 20
 _WIDE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
@@ -198,7 +198,10 @@ def encoder(path: str, splitting: str, special: bool = True) -> Encoder:
     """The encoder of this worker; kept from task to task."""
     key = (path, splitting, special)
     if key not in _made:
+        T.release()
+        _made.clear()
         _made[key] = Encoder(*key)
+        T.hold("tokens", _made.clear)
     return _made[key]
 
 

@@ -85,6 +85,7 @@ def _describe(id_col, text_col, n):
     the class."""
 
     def run(batches):
+        T.release()
         seen = set()
         for batch in batches:
             ids = T.column(batch, id_col)
@@ -123,12 +124,13 @@ def _packed(text_col, n, buckets):
         return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), grams], ["bucket", "grams"])
 
     def run(batches):
+        T.release()
         held, rows, seen = [], 0, set()
         for batch in batches:
             for _, s in _classes(batch, text_col, n, seen):
                 held.append(s)
                 rows += len(s)
-                if rows > 4_000_000:
+                if rows > 1_000_000:
                     yield pack(held)
                     held, rows = [], 0
         if held:
@@ -141,6 +143,7 @@ def _common(least: int, width: int):
     """Rows sorted by bucket -> 40-bit ids with at least that many sets."""
 
     def run(batches):
+        T.release()
         bucket, held = None, []
 
         def done():
@@ -217,6 +220,7 @@ def _list_entries(text_col, n, numer, denom, levels_of):
         return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(place), pa.array(keys), parities], ["gram", "place", "key", "parities"])
 
     def run(batches):
+        T.release()
         table, seen = levels_of.value, set()
         for batch in batches:
             held, rows = [], 0
@@ -243,6 +247,7 @@ def _shared(numer, denom):
     four leaders at most."""
 
     def run(batches):
+        T.release()
         gram, leaders, first, last_key, alone = None, [], None, None, False
         for batch in batches:
             g, place, key = (T.column(batch, c).to_numpy() for c in ("gram", "place", "key"))
@@ -290,6 +295,7 @@ def _send(text_col, n, route_of):
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 
     def run(batches):
+        T.release()
         keys, first, groups, parts, roles = route_of.value
         out, size, seen = [], 0, set()
 
@@ -333,6 +339,7 @@ def _send_all(text_col, n):
 
 def _compare(batches):
     """Rows sorted by a, part, role, key: a group's leader, then its members -> overlaps."""
+    T.release()
     group, lead, last = None, None, None
     for batch in batches:
         a, part, role, key = (T.column(batch, c).to_pylist() for c in ("a", "part", "role", "key"))

@@ -25,8 +25,8 @@ from . import _text as T
 from ._spark import fields, ship, with_places
 
 TRAIN_DOCS, BUCKETS, SIZES = 5000, 1 << 16, (1, 2, 3, 4)
-SWITCH, FLOOR, MIN_SHARE = 12.0, 10.0, 0.001
-_GROUP = 12 << 20
+SWITCH, FLOOR, MIN_SHARE, MIN_SCORE = 12.0, 10.0, 0.001, 0.4
+_GROUP = 8 << 20
 _PLANES = 0x20000
 
 
@@ -123,7 +123,7 @@ class Model:
         out[~allowed & some[:, None]] = -np.inf
         out[~some] = 0.0  # no language writes so: no evidence
         out -= out.max(1, keepdims=True, initial=-np.inf) if n else 0
-        return np.maximum(out, -FLOOR)
+        return np.maximum(out, -FLOOR).astype(np.float32)
 
 
 def viterbi(scores: np.ndarray, counts: np.ndarray, switch: float) -> np.ndarray:
@@ -136,7 +136,7 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, switch: float) -> np.ndarray
     order = np.argsort(-counts, kind="stable")
     size, first = counts[order], T.starts_of(counts)[:-1][order]
     active = np.searchsorted(-size, -np.arange(int(size[0])), "left")  # texts with more than t words
-    stays, froms = np.ones((n, k), bool), np.zeros(n, np.int64)
+    stays, froms = np.ones((n, k), bool), np.zeros(n, np.int16)
     best = np.zeros((int(active[0]), k))
     value = np.zeros((len(counts), k))
     for t in range(int(size[0])):
@@ -180,6 +180,7 @@ def train(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", tr
     chosen = rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < F.element_at(share, F.col("lang")) * (1 << 20))
 
     def run(batches):
+        T.release()
         counts, scripts = {}, {}
         for batch in batches:
             lang = T.column(batch, "lang").to_pylist()
@@ -266,6 +267,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
     carried = [f"_{i}" for i in range(len(keep))]
 
     def run(batches):
+        T.release()
         model = shared.value
         for batch in batches:
             every = [t or "" for t in T.column(batch, "_text").to_pylist()]
@@ -293,7 +295,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
     return rows.mapInArrow(run, fields(rows, carried, more)).toDF(*keep, *new)
 
 
-def drop_unknown(docs: DataFrame, model: Model | None, text_col: str = "text", min_score: float = 0.5, switch: float = SWITCH) -> DataFrame:
+def drop_unknown(docs: DataFrame, model: Model | None, text_col: str = "text", min_score: float = MIN_SCORE, switch: float = SWITCH) -> DataFrame:
     """The rows of docs, all columns, whose text has a language: not `und`, and at least
     min_score of its letters in one language."""
     work = with_places(docs)

@@ -52,6 +52,7 @@ def _once(keys: np.ndarray, text: np.ndarray) -> np.ndarray:
 
 def _count_keys(text_col: str, min_chars: int):
     def run(batches):
+        T.release()
         held, size = [], 0
 
         def summed():
@@ -109,6 +110,7 @@ def _add_hash(text_col: str, carried: list[str]):
 
 def _rebuild(text_col: str, carried: list[str], output: str, drop, min_chars: int, own_keys: bool):
     def run(batches):
+        T.release()
         hot = None if own_keys else np.sort(drop.value)
         for batch in batches:
             texts = T.column(batch, text_col)

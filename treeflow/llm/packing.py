@@ -68,6 +68,7 @@ _FIELDS = "piece int, start long, length long, ids_crc32 long, sequence_id long,
 
 def _pack(id_col, text_col, path, splitting, end_id, capacity, open_bins, special):
     def run(batches):
+        T.release("tokens")
         enc, bins = encoder(path, splitting, special), BestFit(capacity, open_bins)
         base = TaskContext.get().partitionId() << 40
         for batch in batches:

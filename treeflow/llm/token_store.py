@@ -154,7 +154,8 @@ def _shards(uri, path, splitting, end_id, special, width):
     kind = np.dtype(f"<u{width}")
 
     def run(batches):
-        enc, shard, chunks, lengths, keys = encoder(path, splitting, special), TaskContext.get().partitionId(), [], [], []
+        T.release("tokens")
+        enc, shard, lengths, keys = encoder(path, splitting, special), TaskContext.get().partitionId(), [], []
         fs, root = _open(uri)
         fs.create_dir(f"{root}/ids", recursive=True)
         tmp = f"{root}/ids/{shard:05d}.bin.tmp-{TaskContext.get().taskAttemptId()}"

@@ -138,6 +138,7 @@ def _pass(text_col, carried, index_of, span, gram, merge):
     """Adds n_words, n_hit, _hit (bits of the words hit) and _items to the carried columns."""
 
     def run(batches):
+        T.release()
         index = index_of.value
         for batch in batches:
             n_words, bits, found = [], [], []
