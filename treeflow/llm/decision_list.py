@@ -42,6 +42,12 @@ _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of statistics_plan, stored: were a filter on a count pushed into the plan, it
+    would evaluate the array functions anew for every element."""
+    return cut(statistics_plan(docs, id_col, text_col))
+
+
+def statistics_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col and the counts of each whole text; a null or empty text has none.
 
     Words are maximal runs without [\\x20\\x09-\\x0D]; lines, those with a word, are split

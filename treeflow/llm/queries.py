@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decision_list, language_id, lm_scoring, url_filter
-from ._spark import cut, documents, new_folder, ship
+from ._spark import documents, new_folder, ship
 from .feistel import pseudonymise
 from .jaccard_join import jaccard_components
 from .line_dedup import dedup_lines
@@ -49,7 +49,7 @@ def op4_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = cut(decision_list.statistics(documents(spark, sf_dir)))
+    stats = decision_list.statistics(documents(spark, sf_dir))
     rules = decision_list.learn(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return decision_list.judge(stats, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
