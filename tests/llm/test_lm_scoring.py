@@ -2,6 +2,7 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import DATA
 from tests.llm.common import EDGES, low, with_clashes, words
@@ -88,3 +89,28 @@ def test_no_target_and_no_rows(spark):
     none = df.limit(0)
     models = X.train(none)
     assert X.score(none, models).count() == 0 and X.score(df, models).first().n_tokens == 2
+
+
+@pytest.mark.parametrize(("hot_words", "hot_pairs"), [(X.HOT_WORDS, X.HOT_PAIRS), (40, 60), (10**6, 20), (5, 1), (0, 0)])
+def test_bounds_of_what_goes_to_the_tasks_cut_nothing(spark, hot_words, hot_pairs):
+    rows = [(i, t, i is not None and i % 2 == 0) for i, t in EDGES] + [(100 + i, f"the cat sat on mat {i} the cat rare{i} end{i}", i % 4 == 0) for i in range(60)]
+    rows += [(200, "the dog " * 10_000, None)]
+    df = with_clashes(spark.createDataFrame(rows, "doc_id long, text string, target boolean").repartition(3), ["row", "n", "a"])
+    models = X.train(df, hot_words=hot_words, hot_pairs=hot_pairs)
+    assert (models.tail is None) == (hot_words > 1000 and hot_pairs > 1000)
+    docs = [([low(w) for w in words(t)], bool(x)) for _, t, x in rows]
+    target, every = (Brute(docs, c, 10**6, 10**6) for c in ([d for d, x in docs if x], [d for d, _ in docs]))
+    more = [(300, "unseen words the cat mat rare3 rare5 unseen", False), (301, "rare1 cat end7", False)]
+    docs += [(words(t), x) for _, t, x in more]
+    got = X.score(df.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string, target boolean").select("doc_id", "text")), models).collect()
+    own = sorted((repr(i), len(d), *((round(target.loss(d), 6), round(every.loss(d), 6)) if d else (None, None))) for (i, _, _), (d, _) in zip(rows + more, docs, strict=True))
+    assert sorted((repr(r.doc_id), r.n_tokens, *(None if x is None else round(x, 6) for x in (r.target_loss, r.background_loss))) for r in got) == own
+
+
+def test_default_models_know_every_word_and_pair(spark):
+    d = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").withColumn("target", F.col("doc_id") % 3 == 0)
+    rows = [(r.doc_id, [low(w) for w in words(r.text)], r.target) for r in d.collect()]
+    target, every = (Brute([(t, x) for _, t, x in rows], c, 10**9, 10**9) for c in ([t for _, t, x in rows if x], [t for _, t, _ in rows]))
+    for models in (X.train(d), X.train(d, hot_words=500, hot_pairs=1000)):
+        got = {r.doc_id: r.difference for r in X.score(d, models).collect()}
+        assert all(got[i] == pytest.approx(every.loss(t) - target.loss(t), abs=1e-6) for i, t, _ in rows if t)

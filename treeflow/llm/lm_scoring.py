@@ -1,15 +1,19 @@
 """Cross-entropy difference: a target and a background bigram model over one vocabulary.
 
-The vocabulary is the corpus's most frequent words; every other word is one unknown word.
-Both models count the same bigrams of the vocabulary, kept by their corpus counts, and are
-smoothed alike: absolute discounting of the kept bigrams, the freed and the pruned mass going
-to the add-alpha unigrams, so each history's probabilities sum to one.  A document's score is
-the mean over its words of the background's loss less the target's: higher is more like
-the target.
-
-All documents are counted.  Tasks sum before the shuffle; the driver receives only the tables
-that the parameters bound (`vocabulary` words, `bigrams` pairs), chosen by a count threshold
-that a histogram of counts gives.  Words are known by 64-bit hashes.
+The vocabulary is every word of the corpus, and both models count all its bigrams.  They are
+smoothed alike: absolute discounting of the bigrams, the freed mass going to the add-alpha
+unigrams, so each history's probabilities sum to one.  A document's score is the mean over its
+words of the background's loss less the target's: higher is more like the target.
+
+Tasks sum before the shuffle.  The most frequent words and pairs (at most `hot_words` and
+`hot_pairs`, chosen by a count threshold that a histogram of counts gives) go to the tasks,
+which score by them in place.  Other pairs are a stored table; a document's words that need it
+are joined to it by shuffle, and to the counts of words that did not go to the tasks.  No key
+of these joins has more rows in the corpus than the threshold.  The bounds do not change
+scores.  Words are known by 63-bit hashes, a task's pairs by 64 bits.
+
+`vocabulary` and `bigrams` make smaller models instead, of the most frequent words and pairs
+only; every other word is then one unknown word.
 """
 
 from __future__ import annotations
@@ -20,17 +24,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text as T
-from ._spark import cut, ship
+from ._spark import cut, new_folder, ship
 
-VOCABULARY, BIGRAMS = 32_768, 1_000_000
+HOT_WORDS, HOT_PAIRS = 262_144, 1_000_000
 ALPHA, DISCOUNT = 0.5, 0.75
 _FLUSH = 1_500_000
+#: history of a text's first word; places of words that go to the tasks are below
+_START = 1 << 40
 
 
 def _hashed(data, offsets):
     """Word hashes of a block and the words of each text; A-Z lower-cased."""
     starts, ends, counts = T.words(data, offsets, T.NON_SPACE)
-    return T.Spans(data, fold=True).hash(starts, ends), counts
+    return T.Spans(data, fold=True).hash(starts, ends) >> np.uint64(1), counts
 
 
 class _Sums:
@@ -110,6 +116,49 @@ def _bigram_keys(shared):
     return keys_of
 
 
+def _codes(words: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Place of each word among `words`, or its hash as a negative number."""
+    at = _places(words, h)
+    return np.where(at < len(words), at, -1 - h.view(np.int64))
+
+
+def _count_pairs(shared):
+    """Sums over a task of all pairs of neighbouring words: a, b, n, target."""
+
+    def run(batches):
+        words, held, size = shared.value, [], 0
+
+        def summed(parts):
+            key, a, b, n, t = (np.concatenate(c) for c in zip(*parts, strict=True))
+            order = np.argsort(key)
+            k = key[order]
+            at = np.flatnonzero(np.append(True, k[1:] != k[:-1])[: len(k)])
+            if not len(at):
+                return key, a, b, n, t
+            return k[at], a[order[at]], b[order[at]], np.add.reduceat(n[order], at), np.add.reduceat(t[order], at)
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in summed(held)[1:]], ["a", "b", "n", "target"])
+
+        for batch in batches:
+            target = T.column(batch, "target").fill_null(False).to_numpy(zero_copy_only=False).astype(np.int64)
+            for lo, hi, data, offsets in T.blocks(T.column(batch, "text")):
+                h, counts = _hashed(data, offsets)
+                text = np.repeat(np.arange(len(counts)), counts)
+                both = np.flatnonzero(text[1:] == text[:-1]) + 1
+                code = _codes(words, h)
+                key = T.mix(h[both - 1] * np.uint64(0xD6E8FEB86659FD93) + h[both])
+                held.append(summed([(key, code[both - 1], code[both], np.ones(len(both), np.int64), target[lo:hi][text[both]])]))
+                size += len(held[-1][0])
+                if size > _FLUSH:
+                    yield rows()
+                    held, size = [], 0
+        if size:
+            yield rows()
+
+    return run
+
+
 def _top(sums: DataFrame, most: int) -> tuple[DataFrame, int]:
     """The rows of at least the count c, c the least with no more than `most` such rows."""
     histogram = sums.groupBy("n").count().orderBy(F.desc("n"))
@@ -130,19 +179,35 @@ def _table(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Log-probabilities (base 2) of one model."""
+    """Log-probabilities (base 2) of one model.
+
+    mass: what the unigrams' counts are divided by, spent: the discounted counts of each
+    history's pairs; both follow from the other arguments if these are all there is."""
 
-    def __init__(self, n_words: int, unigrams: np.ndarray, unknown: int, pairs: np.ndarray, bigrams: np.ndarray, history: np.ndarray, alpha: float, discount: float):
+    def __init__(self, n_words: int, unigrams: np.ndarray, unknown: int, pairs: np.ndarray, bigrams: np.ndarray, history: np.ndarray, alpha: float, discount: float, mass: float | None = None, spent: np.ndarray | None = None):
         counts = np.append(unigrams, unknown).astype(np.float64)
-        self.uni = (counts + alpha) / (counts.sum() + alpha * len(counts))
+        self.alpha, self.discount = alpha, discount
+        self.mass = counts.sum() + alpha * len(counts) if mass is None else mass
+        self.uni = (counts + alpha) / self.mass
         first, second = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        total = np.maximum(history, 1).astype(np.float64)
-        direct = np.maximum(bigrams - discount, 0) / total[first]
+        self.total = np.maximum(history, 1).astype(np.float64)
+        direct = np.maximum(bigrams - discount, 0) / self.total[first]
         #: mass of each history that goes to the unigrams
-        self.rest = 1 - np.bincount(first, direct, n_words + 1)
+        self.rest = 1 - (np.bincount(first, direct, n_words + 1) if spent is None else spent / self.total)
         self.pair = np.log2(direct + self.rest[first] * self.uni[second])
         self.uni, self.rest = np.log2(self.uni), np.log2(self.rest)
 
+    def open_losses(self, a, b, n, own, spent, other) -> np.ndarray:
+        """Loss of word b after a, seen n times.  own and spent are a's count and its pairs'
+        discounted counts, other is b's count; they serve where a or b is no place."""
+        start, hot_a, hot_b = a == _START, (a >= 0) & (a < _START), b >= 0
+        ia, ib = np.where(hot_a, a, 0), np.where(hot_b, b, 0)
+        own = np.maximum(own, 1)
+        total = np.where(hot_a, self.total[ia], own)
+        rest = np.where(hot_a, np.exp2(self.rest[ia]), 1 - spent / own)
+        uni = np.where(hot_b, np.exp2(self.uni[ib]), (other + self.alpha) / self.mass)
+        return -np.log2(np.where(start, uni, np.maximum(n - self.discount, 0) / total + rest * uni))
+
     def losses(self, ids: np.ndarray, inner: np.ndarray, pair: np.ndarray) -> np.ndarray:
         """Loss of each word; inner: whether it has a word before it in its text; pair: place
         of its kept bigram, or -1."""
@@ -153,56 +218,161 @@ class Model:
         return -out
 
 
-def train(docs: DataFrame, id_col="doc_id", text_col="text", target_col="target", vocabulary=VOCABULARY, bigrams=BIGRAMS, alpha=ALPHA, discount=DISCOUNT):
-    """(words, pairs, target model, background model); target_col marks the target documents.
+class Models(tuple):
+    """(words, pairs, target model, background model), all of which goes to the tasks, and what
+    does not, or None: the other pairs (a, b, n, target), the other words (code, n, target), and
+    the discounted counts of those words' pairs (code, n, target)."""
+
+    tail: tuple[DataFrame, DataFrame, DataFrame] | None = None
+
+
+def train(docs: DataFrame, id_col="doc_id", text_col="text", target_col="target", vocabulary=None, bigrams=None, alpha=ALPHA, discount=DISCOUNT, hot_words=HOT_WORDS, hot_pairs=HOT_PAIRS) -> Models:
+    """The models; target_col marks the target documents.
 
     Null texts count no words, a null mark is no.  Without target documents the target model
-    knows only the even spread of alpha."""
+    knows only the even spread of alpha.  Both `vocabulary` and `bigrams`, or neither."""
+    if (vocabulary is None) != (bigrams is None):
+        raise ValueError("vocabulary and bigrams go together")
     spark = ship(docs.sparkSession)
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(target_col).cast("boolean").alias("target"))
     schema = "key long, n long, target long"
     summed = lambda keys_of: cut(rows.mapInArrow(_count("text", "target", keys_of), schema).groupBy("key").agg(F.sum("n").alias("n"), F.sum("target").alias("target")))
     every = summed(_unigram_keys)
-    total = every.agg(F.sum("n").alias("n"), F.sum("target").alias("target")).first()
-    words, n, t = _table(_top(every, vocabulary)[0])
+    total = every.agg(F.sum("n").alias("n"), F.sum("target").alias("target"), F.count("*").alias("words")).first()
+    hot, least = _top(every, hot_words if vocabulary is None else vocabulary)
+    words, n, t = _table(hot)
     shared = spark.sparkContext.broadcast(words)
-    pairs, pn, pt = _table(_top(summed(_bigram_keys(shared)), bigrams)[0])
-    unknown = ((total["n"] or 0) - int(n.sum()), (total["target"] or 0) - int(t.sum()))
-    made = [Model(len(words), u, x, pairs, p, np.append(u, max(x, 1)), alpha, discount) for u, x, p in ((t, unknown[1], pt), (n, unknown[0], pn))]
-    return words, pairs, made[0], made[1]
-
-
-def score(docs: DataFrame, models, id_col="doc_id", text_col="text") -> DataFrame:
+    if vocabulary is not None:
+        pairs, pn, pt = _table(_top(summed(_bigram_keys(shared)), bigrams)[0])
+        unknown = ((total["n"] or 0) - int(n.sum()), (total["target"] or 0) - int(t.sum()))
+        return Models([words, pairs, *(Model(len(words), u, x, pairs, p, np.append(u, max(x, 1)), alpha, discount) for u, x, p in ((t, unknown[1], pt), (n, unknown[0], pn)))])
+
+    folder = new_folder(spark, "lm-pairs")
+    found = rows.mapInArrow(_count_pairs(shared), "a long, b long, n long, target long")
+    found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("target").alias("target")).write.parquet(folder + "/pairs")
+    found = spark.read.parquet(folder + "/pairs")
+    spent = found.groupBy(F.col("a").alias("code")).agg(*(F.sum(F.greatest(F.col(c) - F.lit(float(discount)), F.lit(0.0))).alias(c) for c in ("n", "target")))
+    own = spent.filter("code >= 0").toArrow()
+    at, freed = own.column("code").to_numpy(), {c: np.zeros(len(words) + 1) for c in ("n", "target")}
+    for c, x in freed.items():
+        x[at] = own.column(c).to_numpy()
+    top, floor = _top(found.filter("a >= 0 and b >= 0"), hot_pairs)
+    pairs, pn, pt = _table(top.select(F.shiftleft("a", 32).bitwiseOR(F.col("b")).alias("key"), "n", "target"))
+    made = [
+        Model(len(words), u, 0, pairs, p, np.append(u, 1), alpha, discount, (total[c] or 0) + alpha * (total["words"] + 1), freed[c])
+        for c, u, p in (("target", t, pt), ("n", n, pn))
+    ]
+    out = Models([words, pairs, *made])
+    others = found.filter(f"a < 0 or b < 0 or n < {floor or 1 << 62}")
+    if total["words"] > len(words) or not others.isEmpty():
+        code = (F.lit(-1) - F.col("key")).alias("code")
+        out.tail = (others, every.filter(F.col("n") < (least or 1 << 62)).select(code, "n", "target"), spent.filter("code < 0"))
+    return out
+
+
+def _read(batch, words, pairs, models, text_col):
+    """Of each block: its first row and that after the last, the words of each text, losses of
+    all words by each model, and of each word its code, history's code, text, and whether the
+    tables that went to the tasks do not settle it."""
+    for lo, hi, data, offsets in T.blocks(T.column(batch, text_col)):
+        h, counts = _hashed(data, offsets)
+        keys, both, ids, text = _pairs(words, h, counts)
+        pair = np.full(len(h), -1, np.int64)
+        if len(pairs) and len(keys):
+            at = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
+            pair[both] = np.where(pairs[at] == keys, at, -1)
+        inner = np.zeros(len(h), bool)
+        inner[1:] = text[1:] == text[:-1]
+        code = np.where(ids < len(words), ids, -1 - h.view(np.int64))
+        before = np.where(inner, np.roll(code, 1), _START)
+        yield lo, hi, counts, [m.losses(ids, inner, pair) for m in models], code, before, text, (inner & (pair < 0)) | (~inner & (code < 0))
+
+
+def score(docs: DataFrame, models: Models, id_col="doc_id", text_col="text") -> DataFrame:
     """id_col, n_tokens, target_loss, background_loss (mean bits a word) and difference
     (background less target).  A text without words, or a null, has 0 words and null losses."""
     spark = ship(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(models)
+    shared = spark.sparkContext.broadcast(tuple(models))
     kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias(text_col))
+    if models.tail is not None:
+        return _joined_score(rows, models.tail, shared, id_col, text_col, kind)
 
     def run(batches):
-        words, pairs, target, background = shared.value
+        words, pairs, *both = shared.value
         for batch in batches:
             n, a, b = [], [], []
-            for _, _, data, offsets in T.blocks(T.column(batch, text_col)):
-                h, counts = _hashed(data, offsets)
-                keys, both, ids, text = _pairs(words, h, counts)
-                pair = np.full(len(h), -1, np.int64)
-                if len(pairs) and len(keys):
-                    at = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
-                    pair[both] = np.where(pairs[at] == keys, at, -1)
-                inner = np.zeros(len(h), bool)
-                inner[1:] = text[1:] == text[:-1]
+            for _, _, counts, losses, _, _, text, _ in _read(batch, words, pairs, both, text_col):
                 n.append(counts)
-                for out, model in ((a, target), (b, background)):
-                    out.append(np.bincount(text, model.losses(ids, inner, pair), len(counts)) / np.maximum(counts, 1))
+                for out, loss in zip((a, b), losses, strict=True):
+                    out.append(np.bincount(text, loss, len(counts)) / np.maximum(counts, 1))
             n, a, b = (np.concatenate([*x, np.zeros(0)]) for x in (n, a, b))
             none = n == 0
             yield pa.RecordBatch.from_arrays([T.column(batch, id_col), pa.array(n.astype(np.int64)), *(pa.array(x, mask=none) for x in (a, b, b - a))], [id_col, "n_tokens", "target_loss", "background_loss", "difference"])
 
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias(text_col))
     return rows.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, target_loss double, background_loss double, difference double")
 
 
+def _numbers(batch, *names):
+    return [T.column(batch, c).fill_null(0).to_numpy(zero_copy_only=False) for c in names]
+
+
+def _joined_score(rows: DataFrame, tail, shared, id_col, text_col, kind) -> DataFrame:
+    """score() where some pairs or words are joined: one row of each text, with the sums that
+    the tasks know, and one of each word that they do not."""
+    pairs, words, spent = tail
+    sums = f"row long, id {kind}, words long, t double, n double, a long, b long"
+    names = ["row", "id", "words", "t", "n", "a", "b"]
+
+    def read(batches):
+        hot, kept, *both = shared.value
+        for batch in batches:
+            row, ids = T.column(batch, "row").to_numpy(), T.column(batch, id_col)
+            for lo, hi, counts, losses, code, before, text, open_ in _read(batch, hot, kept, both, text_col):
+                own, at = row[lo:hi], np.flatnonzero(open_)
+                none, zeros = pa.nulls(len(at), ids.type), np.zeros(len(at))
+                known = [np.append(np.bincount(text[~open_], x[~open_], len(counts)), zeros) for x in losses]
+                cols = [np.append(own, own[text[at]]), pa.concat_arrays([ids.slice(lo, hi - lo), none]), np.append(counts, zeros.astype(np.int64)), *known, np.append(np.full(hi - lo, _START), before[at]), np.append(own, code[at])]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], names)
+
+    def settle(batches):
+        """Words of known places are settled by the pair's counts."""
+        *_, target, background = shared.value
+        for batch in batches:
+            a, b, pt, pn, t, n = _numbers(batch, "a", "b", "pt", "pn", "t", "n")
+            done = np.flatnonzero((a >= 0) & (a < _START) & (b >= 0))
+            t, n, zero = t.copy(), n.copy(), np.zeros(len(done))
+            t[done] += target.open_losses(a[done], b[done], pt[done], zero, zero, zero)
+            n[done] += background.open_losses(a[done], b[done], pn[done], zero, zero, zero)
+            closed = (a >= 0) & (b >= 0)
+            cols = [pa.array(t), pa.array(n), pa.array(np.where(closed, _START, a)), pa.array(np.where(closed, 0, b)), pa.array(pt), pa.array(pn)]
+            yield pa.RecordBatch.from_arrays([*(T.column(batch, c) for c in names[:3]), *cols], [*names, "pt", "pn"])
+
+    def finish(batches):
+        *_, target, background = shared.value
+        for batch in batches:
+            a, b, times, t, n = _numbers(batch, "a", "b", "times", "t", "n")
+            at = np.flatnonzero((a < 0) | (b < 0))
+            t, n = t.copy(), n.copy()
+            for out, model, x in ((t, target, "t"), (n, background, "n")):
+                out[at] += times[at] * model.open_losses(a[at], b[at], *(c[at] for c in _numbers(batch, f"p{x}", f"own_{x}", f"spent_{x}", f"other_{x}")))
+            yield pa.RecordBatch.from_arrays([*(T.column(batch, c) for c in names[:3]), pa.array(t), pa.array(n)], names[:5])
+
+    out = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(read, sums)
+    out = out.join(pairs.select("a", "b", F.col("n").alias("pn"), F.col("target").alias("pt")), ["a", "b"], "left")
+    out = out.mapInArrow(settle, f"{sums}, pt long, pn long")
+    total = [F.first("id", True).alias("id"), F.sum("words").alias("words"), F.sum("t").alias("t"), F.sum("n").alias("n")]
+    out = out.groupBy("row", "a", "b").agg(*total, F.count("*").alias("times"), F.max("pt").alias("pt"), F.max("pn").alias("pn"))
+    # a row number is no word's code: rows that need no word are spread
+    out = out.withColumn("ja", F.when(F.col("a") < 0, F.col("a")).otherwise(F.col("row"))).withColumn("jb", F.when(F.col("b") < 0, F.col("b")).otherwise(F.col("row")))
+    before = words.select("code", F.col("target").alias("own_t"), F.col("n").alias("own_n")).join(spent.select("code", F.col("target").alias("spent_t"), F.col("n").alias("spent_n")), "code", "left")
+    out = out.join(before.withColumnRenamed("code", "ja"), "ja", "left")
+    out = out.join(words.select(F.col("code").alias("jb"), F.col("target").alias("other_t"), F.col("n").alias("other_n")), "jb", "left")
+    out = out.mapInArrow(finish, f"row long, id {kind}, words long, t double, n double").groupBy("row").agg(*total)
+    mean = lambda c: F.when(F.col("words") > 0, F.col(c) / F.col("words"))
+    return out.select(F.col("id").alias(id_col), F.col("words").alias("n_tokens"), mean("t").alias("target_loss"), mean("n").alias("background_loss"), (mean("n") - mean("t")).alias("difference"))
+
+
 BROADCAST_IDS = 500_000
 
 
