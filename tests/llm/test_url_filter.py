@@ -46,3 +46,25 @@ def test_table(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     for r in X.judge_urls(pages).join(pages.select("page_id", "url"), "page_id").collect():
         assert (r.host, r.path, r.rule, r.verdict, r.n_strict, r.n_soft) == brute(r.url)
+
+
+#: hosts of no table; the vocabulary has no words taken from the tables' hosts either
+UNWANTED = [
+    "http://royal-casino.example/", "https://www.best-casinos.test/review", "http://lucky.test/roulette-bonus", "https://bets.test/odds/today", "http://online.test/poker/jackpots", "https://acme.test/betting?prize=1",
+    "http://rx-meds.test/", "https://shop.test/cheap-viagra", "http://steroids.test/pharmacy", "https://a.test/buy-cialis-now", "http://pills.test/cheapest", "http://b.test/xanax/pharmacies",
+    "http://naked-webcams.test/", "https://c.test/pornstars/1", "http://d.test/escorts/adult", "https://milfs.test/", "http://e.test/erotica/nudes", "http://hookups.test/sexy",
+    "http://spammers.test/backlinks", "https://adserver.f.test/1.gif", "http://g.test/popups/ads", "http://h.test/nulled/torrents", "https://keygens.test/", "http://replicas.test/cheap",
+]
+CLEAN = [
+    "https://www.sussex.test/history", "https://city.test/adult-education", "https://hospital.test/pharmacy", "https://paper.test/sports/who-will-win", "https://soft.test/free", "https://travel.test/cheap-flights", "https://mail.test/help/report-spam",
+    "https://music.test/album/track/4", "https://news.test/lottery", "https://farm.test/milk", "https://museum.test/nude-in-art", "https://bank.test/bonus", "https://alphabet.test/", "https://windows.test/download", "https://uni.test/addiction/gambling",
+    "https://bakery.test/crackers", "https://cast.test/casinofree", "https://docs.test/api/ads", "https://health.test/the-pill", "https://forum.test/dating-fossils", "http://example.test/en/18?page=2&ref=x", "https://essex.test/escort-mk2-cars",
+]
+
+
+def test_the_vocabulary_blocks_unwanted_urls_and_no_clean_ones(spark):
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(UNWANTED + CLEAN)], "page_id long, url string")
+    blocked = {r.page_id for r in X.judge_urls(pages, rules=()).collect() if r.verdict == "block"}
+    assert not [u for i, u in enumerate(UNWANTED + CLEAN) if i in blocked and u in CLEAN]
+    assert len(blocked) >= 0.9 * len(UNWANTED)
+    assert not set(X.STRICT) & set(X.SOFT) and len({*X.STRICT, *X.SOFT}) == len(X.STRICT) + len(X.SOFT)

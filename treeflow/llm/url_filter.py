@@ -18,8 +18,29 @@ from . import _text as T
 from ._spark import ship
 
 # Terms that mark a URL as unwanted by themselves, and terms that do so together.
-STRICT = ("porn", "porno", "xxx", "hentai", "camgirls", "sexcam", "xvideos", "warez", "keygen")
-SOFT = ("sex", "nude", "adult", "escort", "casino", "poker", "betting", "slots", "torrent", "crack", "viagra", "dating")
+# Words that clean URLs hold as well (win, free, cheap, adult, pharmacy, spam) are soft.
+STRICT = (
+    # adult
+    "porn", "porno", "pornos", "pornstar", "pornstars", "xxx", "x-rated", "hentai", "camgirl", "camgirls", "camsex", "sexcam", "sexcams", "livesex", "sexchat", "xvideos", "milf", "milfs", "blowjob", "blowjobs", "gangbang", "gangbangs", "nsfw", "upskirt", "callgirl", "callgirls",
+    # gambling
+    "casino", "casinos", "sportsbook", "sportsbooks", "sportsbet", "freespins", "freebet", "freebets",
+    # pharmacy
+    "viagra", "cialis", "levitra", "kamagra",
+    # pirated goods and advertising
+    "warez", "keygen", "keygens", "adserver", "adservers", "adclick", "popunder", "popunders",
+)
+SOFT = (
+    # adult
+    "sex", "sexy", "nude", "nudes", "naked", "adult", "adults", "escort", "escorts", "erotic", "erotica", "fetish", "fetishes", "webcam", "webcams", "hookup", "hookups", "dating",
+    # gambling
+    "poker", "roulette", "blackjack", "baccarat", "bookmaker", "bookmakers", "bookie", "bookies", "bet", "bets", "betting", "gamble", "gambling", "gambler", "gamblers", "wager", "wagers", "wagering", "slots", "jackpot", "jackpots", "lotto", "lottery", "lotteries", "bingo", "odds", "spins",
+    # pharmacy
+    "pill", "pills", "pharmacy", "pharmacies", "pharma", "drugs", "drugstore", "meds", "rx", "steroid", "steroids", "sildenafil", "tadalafil", "phentermine", "tramadol", "xanax", "valium", "ambien",
+    # spam, advertising, pirated goods
+    "spam", "spams", "spammer", "spammers", "spammy", "ads", "adverts", "banners", "popup", "popups", "linkfarm", "linkfarms", "backlink", "backlinks", "torrent", "torrents", "crack", "cracks", "cracked", "nulled", "payday", "replica", "replicas",
+    # supporting words
+    "win", "wins", "winner", "winners", "winning", "free", "cheap", "cheapest", "bonus", "bonuses", "prize", "prizes",
+)
 SOFT_LIMIT = 2
 #: (rule, verdict); a rule is a host, then its path from the first slash
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
