@@ -92,3 +92,38 @@ def test_brute_force_over_the_table(spark):
     own = {r.doc_id: masked(r.text) for r in docs.collect()}
     for r in X.pseudonymise(docs, b"key").collect():
         assert (r.text, r.kinds) == own[r.doc_id]
+
+
+CARD, CARD_2 = "4111111111111111", "5555555555554444"
+GROUPED = "4111 1111 1111 1111"
+
+
+@pytest.mark.parametrize(
+    ("text", "values", "kinds"),
+    [
+        (f"{CARD} {CARD_2}", [CARD, CARD_2], {"card": 2}),
+        (f"{CARD}-{CARD_2} {CARD}", [CARD, CARD_2, CARD], {"card": 3}),
+        ("2353820953013749 4550997810720808", ["4550997810720808"], {"card": 1}),
+        (f"{GROUPED} 12/25", [GROUPED], {"card": 1}),
+        (f"{GROUPED} 5555 5555 5555 4444", [GROUPED, "5555 5555 5555 4444"], {"card": 2}),
+        (f"{CARD} 123", [CARD], {"card": 1}),
+        (f"17 {CARD}", [CARD], {"card": 1}),
+        ("3782 822463 10005 1234", ["3782 822463 10005"], {"card": 1}),
+        ("AT61 1904 3002 3457 3201 1234 5678", ["AT61 1904 3002 3457 3201"], {"iban": 1}),
+        ("AT61 1904 3002 3457 3201 DE89 3704 0044 0532 0130 00", ["AT61 1904 3002 3457 3201", "DE89 3704 0044 0532 0130 00"], {"iban": 2}),
+        ("+1 414 555 3519 1234", ["+1 414 555 3519"], {"phone": 1}),
+        (f"+1 414 555 3519 {CARD}", ["+1 414 555 3519", CARD], {"phone": 1, "card": 1}),
+        (f"212 555 0199 {CARD}", ["212 555 0199", CARD], {"phone": 1, "card": 1}),
+    ],
+)
+def test_values_beside_other_numbers(text, values, kinds):
+    out, counts = masked(f"at {text}, after")
+    own = text
+    for v in values:
+        own = own.replace(v, masked(v)[0], 1)
+    assert (out, counts) == (f"at {own}, after", kinds)
+
+
+@pytest.mark.parametrize("text", ["4111 1111 1111 1112 12", "2353820953013749 17", "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16", "GB83 WEST 1234 5698 7654 32 1234"])
+def test_invalid_values_beside_other_numbers_stay(text):
+    assert masked(f"a {text} b") == (f"a {text} b", {})

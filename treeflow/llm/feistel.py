@@ -97,9 +97,13 @@ def luhn(digits: str) -> int:
     return total % 10
 
 
+def _card_valid(d: str) -> bool:
+    return 13 <= len(d) <= 19 and not luhn(d) and d[0] != "0" and len(set(d)) > 1
+
+
 def _card(s: str, p: Permutation) -> str | None:
     d = _digits(s)
-    if not 13 <= len(d) <= 19 or luhn(d) or d[0] == "0" or len(set(d)) == 1:
+    if not _card_valid(d):
         return None
     n = len(d) - 1
     body = f"{p(int(d[:n]), 10**n, f'card{n}', lambda x: x >= 10 ** (n - 1)):0{n}d}"
@@ -226,7 +230,7 @@ _FORMATS = {
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?![0-9])(?![./-][0-9])",
-    "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])",
+    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{1,12}){1,5}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}([ .-])[0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])",
 }
 
@@ -240,24 +244,71 @@ def _pattern(kinds) -> re.Pattern:
     return re.compile("|".join(out))
 
 
+_CARD_SHAPE = re.compile(r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}")
+_NEXT_DIGIT, _PHONE = re.compile("[ -]?[0-9]"), re.compile(_FORMATS["phone"])
+#: length of an IBAN by country
+_IBAN_LENGTH = {
+    c: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FO FI GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in countries.split()
+}
+#: digits after the country code in plans of one length
+_PLAN_LENGTH = {"+1": 10, "+7": 10, "+31": 9, "+33": 9, "+34": 9, "+41": 9, "+44": 10, "+45": 8, "+47": 8, "+48": 9, "+61": 9, "+86": 11, "+91": 10, "+351": 9, "+420": 9}
+
+
+def _ends(kind: str, text: str, start: int, end: int) -> list[int]:
+    """Where the value that begins at start may end, the likeliest first: its format may run on
+    into a next number, so that its groups up to end are not all its own."""
+    seps = {"card": " -", "iban": " ", "phone": " .-"}.get(kind, "")
+    cuts = [end, *(i for i in range(end - 1, start, -1) if text[i] in seps)]
+    if kind not in ("card", "iban", "phone") or kind == "phone" and text[start] != "+":
+        return [end]
+    if kind == "card":
+        own = [c for c in cuts if _CARD_SHAPE.fullmatch(text, start, c)]
+        alone = not (start > 1 and text[start - 1] in seps and "0" <= text[start - 2] <= "9") and not _NEXT_DIGIT.match(text, end)
+        # all groups in another shape are a card if no shaped one is among them
+        if alone and end not in own and not any(_CARD_SHAPE.fullmatch(text, i + 1, j) and _card_valid(_digits(text[i + 1 : j])) for i in cuts[1:] for j in cuts if i < j):
+            own.append(end)
+        return own
+    if kind == "iban":
+        n = _IBAN_LENGTH.get(text[start : start + 2])
+        fits = [c for c in cuts if c - start - text.count(" ", start, c) == n]
+        return [*fits, *(cuts if n is None else [end])]
+    cuts = [c for c in cuts if _PHONE.fullmatch(text, start, c)]
+    code = re.compile(r"\+[0-9]{1,3}(?![0-9])").match(text, start, end)
+    n = _PLAN_LENGTH.get(code[0]) if code else None
+    return [*(c for c in cuts if code and len(_digits(text[code.end() : c])) == n), *cuts]
+
+
+def _value(kind: str, text: str, start: int, end: int, p: Permutation) -> tuple[str, int] | None:
+    """The pseudonym of the value of this kind that begins at start, and where the value ends."""
+    for e in _ends(kind, text, start, end):
+        if (new := _REPLACE[kind](text[start:e], p)) is not None:
+            return new, e
+    return None
+
+
 def replace(text: str, p: Permutation, pattern: re.Pattern, counts: Counter) -> str:
     """The text with its valid values replaced, from left to right; a value that fails its
-    check stays, and the search goes on behind its first character."""
+    check with each of its ends stays, and the search goes on behind its first character."""
     out, last, at = [], 0, 0
     while m := pattern.search(text, at):
         kind = m.lastgroup if m.lastgroup in _REPLACE else next(k for k, v in m.groupdict().items() if v is not None)
-        new = _REPLACE[kind](m[0], p)
+        new = _value(kind, text, m.start(), m.end(), p)
         if new is None:
             for other in list(_REPLACE)[list(_REPLACE).index(kind) + 1 :]:  # the same place as a later kind
-                if other in m.re.groupindex and (o := re.compile(_FORMATS[other]).match(text, m.start())) and (new := _REPLACE[other](o[0], p)) is not None:
-                    kind, m = other, o
+                if other in m.re.groupindex and (o := re.compile(_FORMATS[other]).match(text, m.start())) and (new := _value(other, text, o.start(), o.end(), p)) is not None:
+                    kind = other
                     break
         if new is None:
             at = m.start() + 1
             continue
         counts[kind] += 1
-        out += [text[last : m.start()], new]
-        last = at = m.end()
+        out += [text[last : m.start()], new[0]]
+        last = at = new[1]
     return "".join([*out, text[last:]])
 
 
