@@ -97,6 +97,16 @@ def test_keep_one(spark, drop_ids):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in out.collect()) == [(False, 3), (False, 4), (False, 5), (False, 8), (True, 0)]
 
 
+@pytest.mark.parametrize("drop_ids", [0, 1000])
+def test_keep_one_of_repeated_ids(spark, drop_ids):
+    """Rows of one id with different texts are lost only to a linked row."""
+    first, other, third = "a b c d e f", "other words stand here now", "quite another text of some words"
+    rows = [(1, first), (1, other), (0, first), (2, third), (2, None), (2, ""), (2, third), (3, other), (4, third + " x"), (4, "no copy of any other row"), (None, first)]
+    out = J.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), drop_ids=drop_ids)
+    own = [(None, first), (0, first), (1, other), (2, third), (2, None), (2, ""), (4, third + " x"), (4, "no copy of any other row")]
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, own))
+
+
 @pytest.mark.parametrize("small", [0, 1000])
 def test_components(spark, small):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 201), (201, 200), (200, 201)]

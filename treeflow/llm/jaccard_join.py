@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from . import _text as T
 from ._components import components
-from ._spark import cut, ship, shuffle_partitions
+from ._spark import cut, ship, shuffle_partitions, with_places
 
 N, NUMER, DENOM = 5, 4, 5  # words of a shingle; threshold 4/5
 COMMON, COMMON_CELLS = 16, 8_000_000
@@ -621,17 +621,22 @@ DROP_IDS = 500_000
 def keep_one(docs: DataFrame, id_col="doc_id", text_col="text", drop_ids: int = DROP_IDS, **options) -> DataFrame:
     """The rows of docs, all columns, that stand for their component: those of its smallest id.
 
-    Rows with a null id cannot be told apart and all stay.  Of rows with an equal id, which
-    are expected only once, one stays if the id stands for a component.  Up to `drop_ids`
-    ids to drop (counted first) go to the texts; beyond, the join is shuffled.
+    Rows with a null id cannot be told apart and all stay.  Rows are known by their id and a
+    64-bit hash of their text: of rows with equal ids and texts one stays if it stands for its
+    component, and rows with equal ids and other texts are judged each by its own text; of
+    those in one component that with the smallest hash may stand for it.  Up to `drop_ids`
+    rows to drop (counted first) go to the texts; beyond, the join is shuffled.
     """
-    found = cut(jaccard_components(docs, id_col, text_col, **options).select(F.col(id_col).alias("_own"), "component_id").filter("_own is not null"))
-    kept = found.filter("_own = component_id").select("_own").distinct()
-    gone = cut(found.filter("_own <> component_id").select("_own").distinct().join(kept, "_own", "left_anti"))
+    work, own = with_places(docs), f"_{docs.columns.index(id_col)}"
+    text = F.col(f"_{docs.columns.index(text_col)}").cast("string")
+    keyed = work.withColumn("_key", F.when(F.col(own).isNotNull(), F.struct(F.col(own).alias("id"), F.xxhash64(text).alias("text"))))
+    found = jaccard_components(keyed.select("_key", text.alias("_text")), "_key", "_text", **options)
+    found = cut(found.select(F.col("_key").alias("_own"), "component_id").filter("_own is not null"))
+    gone = cut(found.filter("_own <> component_id").select("_own").distinct())
     if gone.count() <= drop_ids:
         gone = F.broadcast(gone)
-    out = docs.join(gone, docs[id_col] == gone["_own"], "left_anti")
+    out = keyed.join(gone, keyed["_key"] == gone["_own"], "left_anti")
     if found.groupBy("_own").count().filter("count > 1").limit(1).count():
-        # ids that repeat: one row of each
-        out = out.filter(F.col(id_col).isNull()).unionByName(out.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
-    return out
+        # rows of equal ids and texts: one of each
+        out = out.filter("_key is null").unionByName(out.filter("_key is not null").dropDuplicates(["_key"]))
+    return out.select(*work.columns).toDF(*docs.columns)
