@@ -45,7 +45,7 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     marked = lm_scoring.mark_target(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), where="quality = 1 and toxic = 0")
-    return lm_scoring.score(docs, lm_scoring.train(marked))
+    return lm_scoring.score(marked)
 
 
 def op5_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
