@@ -66,7 +66,7 @@ def groups(seed=5):
     return rows
 
 
-@pytest.mark.parametrize("options", [{}, {"route_keys": 0}, {"list_chunk": 7}, {"common": 3}, {"common_cells": 0}])
+@pytest.mark.parametrize("options", [{}, {"route_keys": 0}, {"list_chunk": 7}, {"common": 3}, {"common_cells": 0}, {"split_level": 0}, {"split_level": 3, "common": 4}])
 def test_brute_force(spark, options):
     rows = groups()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)

@@ -3,11 +3,11 @@
 A document's set holds its distinct word n-grams as 59-bit hashes.  Equal sets form one
 class, named by a 64-bit signature of the set; all later work is on classes.
 
-1. Global order.  N-grams of all classes are counted by 40 bits of their hashes, which travel
-   packed in a few rows for each task.  Those that COMMON sets or more share are ordered by
-   the logarithm of their count behind all others, so shared passages come last.  If there
-   are more of them than COMMON_CELLS, the count from which they are told apart rises; the
-   order changes what work is done, never the result.
+1. Global order.  Tasks count their classes' n-grams by 40 bits of the hashes, and send those
+   that TASK_COMMON or more of some thousand sets share.  N-grams of which COMMON sets or
+   more are known are ordered by the logarithm of that count behind all others, so shared
+   passages come last.  If there are more of them than COMMON_CELLS, the count from which they
+   are told apart rises; the order changes what work is done, never the result.
 2. Index.  A class lists its first |x| - ceil(t|x|) + 1 n-grams with its size and their
    positions.  Two sets with Jaccard >= t share a listed n-gram.
 3. Index skipping.  A list is sorted by size, then position.  Its leader's block ends where
@@ -25,7 +25,9 @@ class, named by a 64-bit signature of the set; all later work is on classes.
 
 No pair is lost: a candidate pair ends in one component, is refuted by a bound, or is checked
 on the full sets.  A long list is cut into chunks and every pair of chunks is one group of
-rows, so no task holds an unbounded list.  Full sets travel once for each group that needs them.
+rows, so no task holds an unbounded list.  The texts are read three times: to describe them,
+to list n-grams, and to store the sets of classes that share a listed n-gram; stored sets
+travel once for each group that needs them.
 """
 
 from __future__ import annotations
@@ -42,9 +44,9 @@ from ._spark import cut, ship, shuffle_partitions, with_places
 N, NUMER, DENOM = 5, 4, 5  # words of a shingle; threshold 4/5
 COMMON, COMMON_CELLS = 16, 8_000_000
 ID_BITS = 40  # of 59
-BUCKETS_A_PARTITION = 8
+TASK_GRAMS, TASK_COMMON = 4_000_000, 3
 ROUTE_KEYS = 2_000_000
-LIST_CHUNK = 2000
+LIST_CHUNK, SPLIT_LEVEL = 2000, 13
 NEAREST_ROUNDS = 2
 GROUP_MEMBERS = 100
 SIGNATURE_WORDS = 16
@@ -82,11 +84,11 @@ def _signature(s: np.ndarray) -> int:
 
 def _describe(id_col, text_col, n):
     """(id, size, class, parities) of every document; parities only where the task first meets
-    the class."""
+    the class.  And (gram, n): 40-bit ids that several classes of the task have."""
 
     def run(batches):
         T.release()
-        seen = set()
+        seen, held, rows = set(), [], 0
         for batch in batches:
             ids = T.column(batch, id_col)
             size, key, parities = np.zeros(len(ids), np.int32), [None] * len(ids), [None] * len(ids)
@@ -96,11 +98,36 @@ def _describe(id_col, text_col, n):
                     if len(seen) < 1_000_000:
                         seen.add(key[i])
                     parities[i] = _parities(s, 128 << max(0, (2 * len(s) - 1).bit_length() - 7))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(size), pa.array(key, pa.int64()), pa.array(parities, pa.binary())], ["id", "size", "key", "parities"])
+                    held.append(s >> np.uint64(59 - ID_BITS))
+                    rows += len(s)
+                    if rows > TASK_GRAMS:
+                        yield _described(ids.type, *_often(held))
+                        held, rows = [], 0
+            none = pa.nulls(len(ids), pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, pa.array(size), pa.array(key, pa.int64()), pa.array(parities, pa.binary()), none, none], _OWN)
+        if held:
+            yield _described(ids.type, *_often(held))
 
     return run
 
 
+_OWN = ["id", "size", "key", "parities", "gram", "n"]
+
+
+def _described(id_type, grams, n):
+    none = lambda t: pa.nulls(len(grams), t)
+    return pa.RecordBatch.from_arrays([none(id_type), none(pa.int32()), none(pa.int64()), none(pa.binary()), pa.array(grams.view(np.int64)), pa.array(n)], _OWN)
+
+
+def _often(held):
+    """Ids that TASK_COMMON sets or more have, and how many."""
+    ids = np.sort(np.concatenate(held))
+    at = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    n = np.diff(np.append(at, len(ids)))
+    often = n >= TASK_COMMON
+    return ids[at[often]], n[often]
+
+
 def _classes(batch, text_col, n, seen: set):
     """Class and set of the texts whose class the task has not met yet (as far as it can
     remember: a class that comes again costs work, not results)."""
@@ -112,64 +139,10 @@ def _classes(batch, text_col, n, seen: set):
             yield key, s
 
 
-def _packed(text_col, n, buckets):
-    """The 40 bits of all n-grams of the task's classes, packed by bucket."""
-    width = (1 << ID_BITS) // buckets
-
-    def pack(held):
-        ids = np.sort(np.concatenate(held)) >> np.uint64(59 - ID_BITS)
-        cuts = np.searchsorted(ids, np.arange(buckets + 1, dtype=np.uint64) * np.uint64(width))
-        some = np.flatnonzero(np.diff(cuts))
-        grams = pa.array([(ids[cuts[b] : cuts[b + 1]] - np.uint64(b * width)).astype("<u4").tobytes() for b in some.tolist()], pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), grams], ["bucket", "grams"])
-
-    def run(batches):
-        T.release()
-        held, rows, seen = [], 0, set()
-        for batch in batches:
-            for _, s in _classes(batch, text_col, n, seen):
-                held.append(s)
-                rows += len(s)
-                if rows > 1_000_000:
-                    yield pack(held)
-                    held, rows = [], 0
-        if held:
-            yield pack(held)
-
-    return run
-
-
-def _common(least: int, width: int):
-    """Rows sorted by bucket -> 40-bit ids with at least that many sets."""
-
-    def run(batches):
-        T.release()
-        bucket, held = None, []
-
-        def done():
-            ids = np.sort(np.concatenate(held))
-            at = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-            n = np.diff(np.append(at, len(ids)))
-            often = n >= least
-            return pa.RecordBatch.from_arrays([pa.array(ids[at[often]].astype(np.int64) + bucket * width), pa.array(n[often].astype(np.int64))], ["gram", "n"])
-
-        for batch in batches:
-            for b, raw in zip(T.column(batch, "bucket").to_pylist(), T.column(batch, "grams"), strict=True):
-                if b != bucket:
-                    if held:
-                        yield done()
-                    bucket, held = b, []
-                held.append(np.frombuffer(raw.as_buffer(), "<u4"))
-        if held:
-            yield done()
-
-    return run
-
-
-def _levels(rows: DataFrame, buckets: int, least: int, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted ids of common n-grams, their levels (1 to 31), and a bitmap that most others miss."""
-    width = (1 << ID_BITS) // buckets
-    counted = cut(rows.repartition(shuffle_partitions(rows.sparkSession), "bucket").sortWithinPartitions("bucket").mapInArrow(_common(least, width), "gram long, n long"))
+def _levels(found: DataFrame, least: int, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted ids of common n-grams, their levels (1 to 31), and a bitmap that most others miss;
+    found: (gram, n) of the tasks."""
+    counted = cut(found.groupBy("gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
     total, bound = 0, None
     for r in counted.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
         total += r["count"]
@@ -242,28 +215,32 @@ _ENTRY = ["gram", "key", "size", "pos", "parities"]
 
 
 def _shared(numer, denom):
-    """Rows sorted by gram, place, key -> the entries of grams with two classes or more, each
-    with the leader whose block it falls in (null for a leader) and the entry before it.  Holds
-    four leaders at most."""
+    """Rows sorted by gram, salt, place, key -> the entries of grams with two classes or more,
+    and all of a list that is split by a salt, each with the leader whose block it falls in
+    (null for a leader) and the entry before it.  Holds four leaders at most."""
 
     def run(batches):
         T.release()
         gram, leaders, first, last_key, alone = None, [], None, None, False
         for batch in batches:
-            g, place, key = (T.column(batch, c).to_numpy() for c in ("gram", "place", "key"))
+            g, salt, place, key = (T.column(batch, c).to_numpy() for c in ("gram", "salt", "place", "key"))
             if not len(g):
                 continue
             # rows that surely stand alone are dropped without a look
             near = np.zeros(len(g), bool)
             near[1:] = g[1:] == g[:-1]
             near[:-1] |= near[1:]
+            near |= salt >= 0
             near[0] = near[-1] = True
             out = []
             parities = T.column(batch, "parities").filter(pa.array(near)).to_pylist()
-            for x in zip(g[near].tolist(), key[near].tolist(), (place[near] >> 32).tolist(), (place[near] & 0xFFFFFFFF).tolist(), parities, strict=True):
+            for x in zip(zip(g[near].tolist(), salt[near].tolist(), strict=True), key[near].tolist(), (place[near] >> 32).tolist(), (place[near] & 0xFFFFFFFF).tolist(), parities, strict=True):
                 if x[0] != gram:
                     gram, first, last_key, alone = x[0], x, x[1], True
                     leaders = [x]
+                    if x[0][1] >= 0:
+                        out.append((*x, None, None))
+                        alone = False
                     continue
                 if x[1] == last_key:  # the class again, from another task
                     continue
@@ -278,61 +255,107 @@ def _shared(numer, denom):
                     leaders.append(x)
                 out.append((*x, own, before if own is not None and before != own else None))
             if out:
-                cols = zip(zip(*out, strict=True), [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in cols], [*_ENTRY, "leader", "before"])
+                lists, *cols = zip(*out, strict=True)
+                cols = [*zip(*lists, strict=True), *cols]
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["gram", "salt", *_ENTRY[1:], "leader", "before"])
 
     return run
 
 
+def _led(listed: DataFrame, numer, denom, split_level: int) -> DataFrame:
+    """The entries that _shared() leaves of (gram, place, key, parities).
+
+    The lists of n-grams that more than 2**split_level sets have are split by class; the
+    leaders of such a list's pieces then meet as one list of their own."""
+    schema = "gram long, salt int, key long, size int, pos int, parities binary, leader long, before long"
+    level = F.shiftrightunsigned("gram", 59).cast("int")
+    pieces = F.when(level > split_level, F.expr(f"shiftleft(1, cast(shiftrightunsigned(gram, 59) as int) - {split_level})"))
+    listed = listed.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("key"), pieces).cast("int"), F.lit(-1)))
+
+    def run(rows, *by):
+        dealt = rows.repartition(shuffle_partitions(rows.sparkSession), *by).sortWithinPartitions("gram", "salt", "place", "key")
+        return dealt.select("gram", "salt", "place", "key", "parities").mapInArrow(_shared(numer, denom), schema)
+
+    first = cut(run(listed, "gram", "salt"))
+    tops = (F.col("salt") >= 0) & F.col("leader").isNull()
+    again = first.filter(tops).select("gram", F.lit(-1).alias("salt"), (F.shiftleft(F.col("size").cast("long"), 32) + F.col("pos")).alias("place"), "key", "parities")
+    return cut(first.filter(~tops).unionByName(run(again, "gram"))).drop("salt")
+
+
 # --- comparing full sets ----------------------------------------------------------------
 
 
 _SEND_BYTES = 8 << 20
 
 
-def _send(text_col, n, route_of):
-    """(a, part, role, key, members) for the groups a class is needed in."""
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+def _keep(text_col, n, keys_of):
+    """(key, members) of the task's classes among the given ones, or of all of them."""
+
+    def made(out):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64(), pa.binary()], strict=True)], ["key", "members"])
 
     def run(batches):
         T.release()
-        keys, first, groups, parts, roles = route_of.value
-        out, size, seen = [], 0, set()
-
-        def made():
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["a", "part", "role", "key", "members"])
-
+        keys, seen, out, size = keys_of.value if keys_of else None, set(), [], 0
         for batch in batches:
             for key, s in _classes(batch, text_col, n, seen):
-                at = int(np.searchsorted(keys, key))
-                if at < len(keys) and keys[at] == key:
-                    raw = s.tobytes()
-                    for j in range(first[at], first[at + 1]):
-                        out.append((int(groups[j]), int(parts[j]), int(roles[j]), key, raw))
-                        size += len(raw)
-                        if size > _SEND_BYTES:
-                            yield made()
-                            out, size = [], 0
+                if keys is not None:
+                    at = int(np.searchsorted(keys, key))
+                    if at == len(keys) or keys[at] != key:
+                        continue
+                out.append((key, s.tobytes()))
+                size += len(out[-1][1])
+                if size > _SEND_BYTES:
+                    yield made(out)
+                    out, size = [], 0
         if out:
-            yield made()
+            yield made(out)
 
     return run
 
 
-def _send_all(text_col, n):
-    """(key, members) of every class of a task."""
+def _stored_sets(texts: DataFrame, wanted: DataFrame, text_col: str, n: int, route_keys: int) -> DataFrame:
+    """(key, members): the sets of the wanted classes (key), written once.  A class of several
+    tasks may stand there more than once."""
+    spark = texts.sparkSession
+    wanted = cut(wanted.select("key").distinct())
+    if wanted.count() <= route_keys:
+        keys = spark.sparkContext.broadcast(np.sort(wanted.toArrow().column("key").to_numpy()))
+        sets = texts.mapInArrow(_keep(text_col, n, keys), "key long, members binary")
+    else:
+        sets = texts.mapInArrow(_keep(text_col, n, None), "key long, members binary").join(wanted, "key", "left_semi")
+    return cut(sets)
+
+
+def _send(route_of):
+    """(a, part, role, key, members) for the groups a class is needed in."""
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 
     def run(batches):
-        seen, out, size = set(), [], 0
+        T.release()
+        keys, first, groups, parts, roles = route_of.value
+        out, size, seen = [], 0, set()
+
+        def made():
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["a", "part", "role", "key", "members"])
+
         for batch in batches:
-            for key, s in _classes(batch, text_col, n, seen):
-                out.append((key, s.tobytes()))
-                size += len(out[-1][1])
-                if size > _SEND_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64(), pa.binary()], strict=True)], ["key", "members"])
-                    out, size = [], 0
+            own, members = T.column(batch, "key").to_numpy(zero_copy_only=False), T.column(batch, "members")
+            at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+            for i in np.flatnonzero(keys[at] == own).tolist():
+                key, raw = int(own[i]), members[i].as_py()
+                if key in seen:
+                    continue
+                seen.add(key)
+                for j in range(first[at[i]], first[at[i] + 1]):
+                    out.append((int(groups[j]), int(parts[j]), int(roles[j]), key, raw))
+                    size += len(raw)
+                    if size > _SEND_BYTES:
+                        yield made()
+                        out, size = [], 0
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64(), pa.binary()], strict=True)], ["key", "members"])
+            yield made()
 
     return run
 
@@ -361,11 +384,11 @@ def _compare(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b", "size_a", "size_b", "overlap"])
 
 
-def _overlaps(docs: DataFrame, pairs: DataFrame, text_col: str, n: int, route_keys: int) -> DataFrame:
+def _overlaps(sets: DataFrame, pairs: DataFrame, route_keys: int) -> DataFrame:
     """(a, b, size_a, size_b, overlap) of the class pairs (a, b), from the full sets.
 
     Groups of one a hold at most about GROUP_MEMBERS members; a larger one has several parts."""
-    spark = docs.sparkSession
+    spark = sets.sparkSession
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_MEMBERS).cast("int").alias("parts"))
     route = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), F.col("b").alias("key"))
     route = route.unionByName(route.select("a", "part", F.lit(0).alias("role"), F.col("a").alias("key")).distinct())
@@ -379,9 +402,9 @@ def _overlaps(docs: DataFrame, pairs: DataFrame, text_col: str, n: int, route_ke
         order = np.argsort(cols[0], kind="stable")
         keys, first = np.unique(cols[0][order], return_index=True)
         shared = spark.sparkContext.broadcast((keys, np.append(first, len(order)), cols[1][order], cols[2][order], cols[3][order]))
-        sent = docs.mapInArrow(_send(text_col, n, shared), "a long, part int, role int, key long, members binary")
+        sent = sets.mapInArrow(_send(shared), "a long, part int, role int, key long, members binary")
     else:
-        sent = docs.mapInArrow(_send_all(text_col, n), "key long, members binary").join(route, "key").select("a", "part", "role", "key", "members")
+        sent = sets.join(route, "key").select("a", "part", "role", "key", "members")
     sent = sent.repartition(shuffle_partitions(spark), "a", "part").sortWithinPartitions("a", "part", "role", "key")
     return cut(sent.mapInArrow(_compare, "a long, b long, size_a long, size_b long, overlap long"))
 
@@ -510,7 +533,7 @@ def _links(checked: DataFrame, numer, denom) -> DataFrame:
 
 
 def jaccard_components(
-    docs: DataFrame, id_col="doc_id", text_col="text", n: int = N, numer: int = NUMER, denom: int = DENOM, common: int = COMMON, common_cells: int = COMMON_CELLS, route_keys: int = ROUTE_KEYS, list_chunk: int = LIST_CHUNK
+    docs: DataFrame, id_col="doc_id", text_col="text", n: int = N, numer: int = NUMER, denom: int = DENOM, common: int = COMMON, common_cells: int = COMMON_CELLS, route_keys: int = ROUTE_KEYS, list_chunk: int = LIST_CHUNK, split_level: int = SPLIT_LEVEL
 ) -> DataFrame:
     """id_col, n_shingles, component_id: the smallest id reachable over links, its own included.
 
@@ -527,13 +550,12 @@ def jaccard_components(
     docs = docs.select(F.col(id_col), F.col(text_col).cast("string").alias(text_col))
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(text_col)
-    own = cut(docs.mapInArrow(_describe(id_col, text_col, n), f"id {kind}, size int, key long, parities binary"))
-    buckets = 1 << max(8, (BUCKETS_A_PARTITION * shuffle_partitions(spark) - 1).bit_length())
-    levels = spark.sparkContext.broadcast(_levels(texts.mapInArrow(_packed(text_col, n, buckets), "bucket int, grams binary"), buckets, common, common_cells))
+    found = cut(docs.mapInArrow(_describe(id_col, text_col, n), f"id {kind}, size int, key long, parities binary, gram long, n long"))
+    own = found.filter("gram is null").select("id", "size", "key", "parities")
+    levels = spark.sparkContext.broadcast(_levels(found.filter("gram is not null").select("gram", "n"), common, common_cells))
 
     listed = texts.mapInArrow(_list_entries(text_col, n, numer, denom, levels), "gram long, place long, key long, parities binary")
-    listed = listed.repartition(shuffle_partitions(spark), "gram").sortWithinPartitions("gram", "place", "key")
-    entries = cut(listed.mapInArrow(_shared(numer, denom), "gram long, key long, size int, pos int, parities binary, leader long, before long"))
+    entries = _led(listed, numer, denom, split_level)
 
     described = own.filter("parities is not null").groupBy("key").agg(F.first("size").cast("long").alias("size"), F.first("parities").alias("p"))
 
@@ -546,7 +568,9 @@ def jaccard_components(
     # a class and, of the leaders and neighbours it met, the one that its parities are nearest to
     met = entries.filter("leader is not null").select(F.col("key").alias("b"), F.explode(F.array("leader", "before")).alias("a")).filter("a is not null").distinct()
     first = refuted(met).groupBy("b").agg(F.min(F.struct("differ", "a")).alias("m")).select("m.a", "b")
-    near = _overlaps(texts, first, text_col, n, route_keys)
+    sets = _stored_sets(texts, entries, text_col, n, route_keys)
+    near = _overlaps(sets, first, route_keys)
+
     def joined(edges, comps, checked):
         """edges and components with the links among checked pairs; and whether there were any"""
         new = cut(_links(checked, numer, denom))
@@ -563,7 +587,7 @@ def jaccard_components(
         close = refuted(_between(lists, comps, numer, denom, list_chunk, True))
         close = close.select("a", "b", "differ", F.col("a").alias("of")).unionByName(close.select("a", "b", "differ", F.col("b").alias("of")))
         close = close.groupBy("of").agg(F.min(F.struct("differ", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
-        edges, comps, some = joined(edges, comps, _overlaps(texts, close, text_col, n, route_keys))
+        edges, comps, some = joined(edges, comps, _overlaps(sets, close, route_keys))
         if not some:
             break
     # the distance to the leader serves where the leader is no member of another one
@@ -577,7 +601,7 @@ def jaccard_components(
     # of these, each class is checked against the one that its parities are nearest to
     ends = pairs.select("a", "b", "differ", F.col("a").alias("of"), F.col("b").alias("to")).unionByName(pairs.select("a", "b", "differ", F.col("b").alias("of"), F.col("a").alias("to")))
     nearest = ends.groupBy("of").agg(F.min(F.struct("differ", "to", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
-    beside = _overlaps(texts, nearest, text_col, n, route_keys)
+    beside = _overlaps(sets, nearest, route_keys)
     edges, comps, _ = joined(edges, comps, beside)
 
     def apart_in(comps, pairs):
@@ -593,7 +617,7 @@ def jaccard_components(
     pairs = pairs.join(at("a"), "a", "left").join(at("b"), "b", "left")
     pairs = pairs.select("a", "b", *(F.coalesce(f"root_{x}", x).alias(f"root_{x}") for x in "ab"), (F.coalesce("far_a", F.lit(0)) + F.coalesce("far_b", F.lit(0))).alias("far"), (F.col("size_a") + F.col("size_b")).alias("total"))
     pairs = pairs.select("a", "b", F.least("root_a", "root_b").alias("ra"), F.greatest("root_a", "root_b").alias("rb"), "far", F.floor(F.col("total") * (denom - numer) / (numer + denom)).alias("most"))
-    apart = _overlaps(texts, pairs.select(F.col("ra").alias("a"), F.col("rb").alias("b")).filter("a <> b").distinct(), text_col, n, route_keys)
+    apart = _overlaps(sets, pairs.select(F.col("ra").alias("a"), F.col("rb").alias("b")).filter("a <> b").distinct(), route_keys)
     edges, comps, _ = joined(edges, comps, apart)
 
     # what the leaders' distance says of the pairs that are still in different components
@@ -603,7 +627,7 @@ def jaccard_components(
     sure = F.coalesce(F.col("between") + F.col("far") <= F.col("most"), F.lit(False))
     refuted = F.coalesce((F.col("between") - F.col("far") > F.col("most")) | (themselves & F.col("between").isNotNull()), F.lit(False))
     open_ = cut(open_.withColumn("sure", sure).filter(F.col("sure") | ~refuted).select("a", "b", "sure").distinct())
-    last = _overlaps(texts, open_.filter("not sure").select("a", "b"), text_col, n, route_keys)
+    last = _overlaps(sets, open_.filter("not sure").select("a", "b"), route_keys)
     sure = open_.filter("sure").select("a", "b", F.lit(1).cast("long").alias("size_a"), F.lit(1).cast("long").alias("size_b"), F.lit(1).cast("long").alias("overlap"))
     edges, comps, _ = joined(edges, comps, last.unionByName(sure))
 
