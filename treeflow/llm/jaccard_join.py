@@ -25,7 +25,7 @@ class, named by a 64-bit signature of the set; all later work is on classes.
 
 No pair is lost: a candidate pair ends in one component, is refuted by a bound, or is checked
 on the full sets.  A long list is cut into chunks and every pair of chunks is one group of
-rows, so no task holds an unbounded list.  The texts are read three times: to describe them,
+rows, but for pairs within the list's largest component, so no task holds an unbounded list.  The texts are read three times: to describe them,
 to list n-grams, and to store the sets of classes that share a listed n-gram; stored sets
 travel once for each group that needs them.
 """
@@ -494,9 +494,12 @@ def _between(entries: DataFrame, labels: DataFrame, numer, denom, chunk: int, ne
     if nearest:
         entries = entries.filter("parities is not null")
     e = entries.join(labels.select("key", "comp"), "key", "left").select(*_ENTRY, F.coalesce("comp", "key").alias("comp"))
-    mixed = e.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo <> hi").select("gram", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
-    e = e.join(mixed, "gram").withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
-    e = e.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    # of a list's largest component each chunk only meets the entries of other components
+    mixed = e.groupBy("gram", "comp").agg(F.count("*").alias("n")).groupBy("gram").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("comps")).filter("comps > 1")
+    mixed = mixed.select("gram", F.col("top.comp").alias("most"), F.ceil(F.col("top.n") / chunk).cast("int").alias("tops"), F.ceil((F.col("n") - F.col("top.n")) / chunk).cast("int").alias("rest"))
+    e = e.join(mixed, "gram").withColumn("is_top", F.col("comp") == F.col("most"))
+    e = e.withColumn("chunk", F.when(F.col("is_top"), F.pmod(F.xxhash64("key"), F.col("tops"))).otherwise(F.col("tops") + F.pmod(F.xxhash64("key"), F.col("rest"))).cast("int"))
+    e = e.withColumn("other", F.explode(F.sequence(F.when(F.col("is_top"), F.col("tops")).otherwise(F.lit(0)), F.col("tops") + F.col("rest") - 1)))
     e = e.withColumn("c1", F.least("chunk", "other")).withColumn("c2", F.greatest("chunk", "other"))
     e = e.repartition(shuffle_partitions(entries.sparkSession), "gram", "c1", "c2").sortWithinPartitions("gram", "c1", "c2", "size", "pos")
     return e.mapInArrow(_cross(numer, denom, nearest), "a long, b long").distinct()
