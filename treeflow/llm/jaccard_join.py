@@ -12,9 +12,9 @@ class, named by a 64-bit signature of the set; all later work is on classes.
    positions.  Two sets with Jaccard >= t share a listed n-gram.
 3. Index skipping.  A list is sorted by size, then position.  Its leader's block ends where
    sizes can no longer reach t, and 1 + min(rest of x, rest of z) below the needed overlap
-   skips an entry at its position.  Entries of common n-grams also carry the parities of
-   their set over 1024 cells: two sets differ in at least as many elements as parities, which
-   refutes most pairs of unlike sets before they leave their list.
+   skips an entry at its position.  Entries of long lists get the parities of their set over
+   1024 cells: two sets differ in at least as many elements as parities, which refutes most
+   pairs of unlike sets before they leave their list.
 4. Answers by relation.  Each class is first checked against one leader only, then against
    the class of each long list whose parities are nearest, which settles nearly all members
    of a group of copies.  Of lists whose classes already are in one component nothing more is asked.
@@ -83,40 +83,41 @@ def _signature(s: np.ndarray) -> int:
 
 
 def _describe(id_col, text_col, n):
-    """(id, size, class, parities) of every document; parities only where the task first meets
-    the class.  And (gram, n): 40-bit ids that several classes of the task have."""
+    """(id, size, class, parities, cells) of every document; parities, and those over a fixed
+    number of cells, only where the task first meets the class.  And (gram, n): 40-bit ids that
+    several classes of the task have."""
 
     def run(batches):
         T.release()
         seen, held, rows = set(), [], 0
         for batch in batches:
             ids = T.column(batch, id_col)
-            size, key, parities = np.zeros(len(ids), np.int32), [None] * len(ids), [None] * len(ids)
+            size, (key, parities, cells) = np.zeros(len(ids), np.int32), ([None] * len(ids) for _ in range(3))
             for i, s in _sets(batch, text_col, n):
                 size[i], key[i] = len(s), _signature(s)
                 if key[i] not in seen:
                     if len(seen) < 1_000_000:
                         seen.add(key[i])
-                    parities[i] = _parities(s, 128 << max(0, (2 * len(s) - 1).bit_length() - 7))
+                    cells[i], parities[i] = _parities(s), _parities(s, 128 << max(0, (2 * len(s) - 1).bit_length() - 7))
                     held.append(s >> np.uint64(59 - ID_BITS))
                     rows += len(s)
                     if rows > TASK_GRAMS:
                         yield _described(ids.type, *_often(held))
                         held, rows = [], 0
             none = pa.nulls(len(ids), pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(size), pa.array(key, pa.int64()), pa.array(parities, pa.binary()), none, none], _OWN)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(size), pa.array(key, pa.int64()), pa.array(parities, pa.binary()), pa.array(cells, pa.binary()), none, none], _OWN)
         if held:
             yield _described(ids.type, *_often(held))
 
     return run
 
 
-_OWN = ["id", "size", "key", "parities", "gram", "n"]
+_OWN = ["id", "size", "key", "parities", "cells", "gram", "n"]
 
 
 def _described(id_type, grams, n):
     none = lambda t: pa.nulls(len(grams), t)
-    return pa.RecordBatch.from_arrays([none(id_type), none(pa.int32()), none(pa.int64()), none(pa.binary()), pa.array(grams.view(np.int64)), pa.array(n)], _OWN)
+    return pa.RecordBatch.from_arrays([none(id_type), none(pa.int32()), none(pa.int64()), none(pa.binary()), none(pa.binary()), pa.array(grams.view(np.int64)), pa.array(n)], _OWN)
 
 
 def _often(held):
@@ -180,17 +181,15 @@ def _parities(s: np.ndarray, cells: int = 64 * SIGNATURE_WORDS) -> bytes:
 
 
 def _list_entries(text_col, n, numer, denom, levels_of):
-    """(gram, place, key, parities) of the listed n-grams, once for each class of a task; place
-    is the set's size times 2**32 plus the n-gram's position.  Only common n-grams have
-    parities: they alone have long lists."""
+    """(gram, place, key) of the listed n-grams, once for each class of a task; place is the
+    set's size times 2**32 plus the n-gram's position."""
 
     def made(held):
-        size, listed = np.array([m for _, m, _, _ in held], np.int64), np.array([len(p) for _, _, p, _ in held])
+        size, listed = np.array([m for _, m, _ in held], np.int64), np.array([len(p) for _, _, p in held])
         place = (np.repeat(size, listed) << 32) + T.ragged(np.zeros(len(held), np.int64), listed)
-        keys = np.repeat(np.array([k for k, _, _, _ in held], np.int64), listed)
-        grams = np.concatenate([p for _, _, p, _ in held])
-        parities = pa.array([h[3] for h in held], pa.binary()).take(pa.array(np.repeat(np.arange(len(held)), listed), mask=grams < np.uint64(1 << 59)))
-        return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(place), pa.array(keys), parities], ["gram", "place", "key", "parities"])
+        keys = np.repeat(np.array([k for k, _, _ in held], np.int64), listed)
+        grams = np.concatenate([p for _, _, p in held])
+        return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(place), pa.array(keys)], ["gram", "place", "key"])
 
     def run(batches):
         T.release()
@@ -200,9 +199,9 @@ def _list_entries(text_col, n, numer, denom, levels_of):
             for key, s in _classes(batch, text_col, n, seen):
                 m = len(s)
                 listed = _ordered(s, *table)[: m - -(-numer * m // denom) + 1]
-                held.append((key, m, listed, _parities(s) if listed[-1] >= np.uint64(1 << 59) else None))
-                rows += len(held[-1][2])
-                if rows > 50_000:
+                held.append((key, m, listed))
+                rows += len(listed)
+                if rows > 200_000:
                     yield made(held)
                     held, rows = [], 0
             if held:
@@ -211,7 +210,7 @@ def _list_entries(text_col, n, numer, denom, levels_of):
     return run
 
 
-_ENTRY = ["gram", "key", "size", "pos", "parities"]
+_ENTRY = ["gram", "key", "size", "pos"]
 
 
 def _shared(numer, denom):
@@ -233,8 +232,7 @@ def _shared(numer, denom):
             near |= salt >= 0
             near[0] = near[-1] = True
             out = []
-            parities = T.column(batch, "parities").filter(pa.array(near)).to_pylist()
-            for x in zip(zip(g[near].tolist(), salt[near].tolist(), strict=True), key[near].tolist(), (place[near] >> 32).tolist(), (place[near] & 0xFFFFFFFF).tolist(), parities, strict=True):
+            for x in zip(zip(g[near].tolist(), salt[near].tolist(), strict=True), key[near].tolist(), (place[near] >> 32).tolist(), (place[near] & 0xFFFFFFFF).tolist(), strict=True):
                 if x[0] != gram:
                     gram, first, last_key, alone = x[0], x, x[1], True
                     leaders = [x]
@@ -257,29 +255,31 @@ def _shared(numer, denom):
             if out:
                 lists, *cols = zip(*out, strict=True)
                 cols = [*zip(*lists, strict=True), *cols]
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["gram", "salt", *_ENTRY[1:], "leader", "before"])
 
     return run
 
 
 def _led(listed: DataFrame, numer, denom, split_level: int) -> DataFrame:
-    """The entries that _shared() leaves of (gram, place, key, parities).
+    """The entries that _shared() leaves of (gram, place, key).
 
     The lists of n-grams that more than 2**split_level sets have are split by class; the
     leaders of such a list's pieces then meet as one list of their own."""
-    schema = "gram long, salt int, key long, size int, pos int, parities binary, leader long, before long"
+    schema = "gram long, salt int, key long, size int, pos int, leader long, before long"
     level = F.shiftrightunsigned("gram", 59).cast("int")
     pieces = F.when(level > split_level, F.expr(f"shiftleft(1, cast(shiftrightunsigned(gram, 59) as int) - {split_level})"))
     listed = listed.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("key"), pieces).cast("int"), F.lit(-1)))
 
     def run(rows, *by):
         dealt = rows.repartition(shuffle_partitions(rows.sparkSession), *by).sortWithinPartitions("gram", "salt", "place", "key")
-        return dealt.select("gram", "salt", "place", "key", "parities").mapInArrow(_shared(numer, denom), schema)
+        return dealt.select("gram", "salt", "place", "key").mapInArrow(_shared(numer, denom), schema)
 
     first = cut(run(listed, "gram", "salt"))
     tops = (F.col("salt") >= 0) & F.col("leader").isNull()
-    again = first.filter(tops).select("gram", F.lit(-1).alias("salt"), (F.shiftleft(F.col("size").cast("long"), 32) + F.col("pos")).alias("place"), "key", "parities")
+    again = first.filter(tops).select("gram", F.lit(-1).alias("salt"), (F.shiftleft(F.col("size").cast("long"), 32) + F.col("pos")).alias("place"), "key")
+    if again.isEmpty():
+        return first.drop("salt")
     return cut(first.filter(~tops).unionByName(run(again, "gram"))).drop("salt")
 
 
@@ -414,8 +414,9 @@ def _overlaps(sets: DataFrame, pairs: DataFrame, route_keys: int) -> DataFrame:
 
 def _cross(numer, denom, nearest: bool):
     """Rows sorted by gram, c1, c2, size, pos: pairs (a, b) of classes in different components
-    that the filters leave.  nearest: of entries with parities, and for each only the pair
-    with the fewest differing ones, so that a list gives no more pairs than it has entries."""
+    that the filters leave; entries of long lists come with the parities of their sets.
+    nearest: of these, and for each only the pair with the fewest differing ones, so that a
+    list gives no more pairs than it has entries."""
 
     def pairs(c):
         """Entries i and j = i + d of one group, for all groups at once and d = 1, 2, ..."""
@@ -469,7 +470,7 @@ def _cross(numer, denom, nearest: bool):
             c = [T.column(batch, x).to_numpy().astype(np.int64) for x in ("gram", "c1", "c2", "key", "size", "pos", "comp", "chunk")]
             if not len(c[0]):
                 continue
-            raw = T.column(batch, "parities")
+            raw = T.column(batch, "cells")
             signed = raw.is_valid().to_numpy(zero_copy_only=False)
             words = np.zeros((len(signed), SIGNATURE_WORDS), np.uint64)
             if signed.any():
@@ -489,16 +490,20 @@ def _cross(numer, denom, nearest: bool):
     return run
 
 
-def _between(entries: DataFrame, labels: DataFrame, numer, denom, chunk: int, nearest: bool = False) -> DataFrame:
-    """Candidate pairs of entries in different components, distinct."""
-    if nearest:
-        entries = entries.filter("parities is not null")
+def _between(entries: DataFrame, labels: DataFrame, cells: DataFrame, numer, denom, chunk: int, long_list: int, nearest: bool = False) -> DataFrame:
+    """Candidate pairs of entries in different components, distinct; cells: (key, cells).
+
+    Lists of at least `long_list` entries get the parities of their sets, which refute most
+    pairs there; a shorter list has few pairs."""
     e = entries.join(labels.select("key", "comp"), "key", "left").select(*_ENTRY, F.coalesce("comp", "key").alias("comp"))
     # of a list's largest component each chunk only meets the entries of other components
     mixed = e.groupBy("gram", "comp").agg(F.count("*").alias("n")).groupBy("gram").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("comps")).filter("comps > 1")
-    mixed = mixed.select("gram", F.col("top.comp").alias("most"), F.ceil(F.col("top.n") / chunk).cast("int").alias("tops"), F.ceil((F.col("n") - F.col("top.n")) / chunk).cast("int").alias("rest"))
+    if nearest:
+        mixed = mixed.filter(F.col("n") >= long_list)
+    mixed = mixed.select("gram", (F.col("n") >= long_list).alias("is_long"), F.col("top.comp").alias("most"), F.ceil(F.col("top.n") / chunk).cast("int").alias("tops"), F.ceil((F.col("n") - F.col("top.n")) / chunk).cast("int").alias("rest"))
     e = e.join(mixed, "gram").withColumn("is_top", F.col("comp") == F.col("most"))
     e = e.withColumn("chunk", F.when(F.col("is_top"), F.pmod(F.xxhash64("key"), F.col("tops"))).otherwise(F.col("tops") + F.pmod(F.xxhash64("key"), F.col("rest"))).cast("int"))
+    e = e.filter("is_long").join(cells, "key", "left").unionByName(e.filter("not is_long").withColumn("cells", F.lit(None).cast("binary")))
     e = e.withColumn("other", F.explode(F.sequence(F.when(F.col("is_top"), F.col("tops")).otherwise(F.lit(0)), F.col("tops") + F.col("rest") - 1)))
     e = e.withColumn("c1", F.least("chunk", "other")).withColumn("c2", F.greatest("chunk", "other"))
     e = e.repartition(shuffle_partitions(entries.sparkSession), "gram", "c1", "c2").sortWithinPartitions("gram", "c1", "c2", "size", "pos")
@@ -553,14 +558,15 @@ def jaccard_components(
     docs = docs.select(F.col(id_col), F.col(text_col).cast("string").alias(text_col))
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(text_col)
-    found = cut(docs.mapInArrow(_describe(id_col, text_col, n), f"id {kind}, size int, key long, parities binary, gram long, n long"))
+    found = cut(docs.mapInArrow(_describe(id_col, text_col, n), f"id {kind}, size int, key long, parities binary, cells binary, gram long, n long"))
     own = found.filter("gram is null").select("id", "size", "key", "parities")
     levels = spark.sparkContext.broadcast(_levels(found.filter("gram is not null").select("gram", "n"), common, common_cells))
 
-    listed = texts.mapInArrow(_list_entries(text_col, n, numer, denom, levels), "gram long, place long, key long, parities binary")
+    listed = texts.mapInArrow(_list_entries(text_col, n, numer, denom, levels), "gram long, place long, key long")
     entries = _led(listed, numer, denom, split_level)
 
     described = own.filter("parities is not null").groupBy("key").agg(F.first("size").cast("long").alias("size"), F.first("parities").alias("p"))
+    cells = found.filter("cells is not null").groupBy("key").agg(F.first("cells").alias("cells"))
 
     def refuted(pairs):
         """pairs (a, b) that parities leave, with sizes and differing parities"""
@@ -587,7 +593,7 @@ def jaccard_components(
     # of common n-grams' lists each class is checked against its nearest in another component
     lists = entries.select(*_ENTRY)
     for _ in range(NEAREST_ROUNDS):
-        close = refuted(_between(lists, comps, numer, denom, list_chunk, True))
+        close = refuted(_between(lists, comps, cells, numer, denom, list_chunk, common, True))
         close = close.select("a", "b", "differ", F.col("a").alias("of")).unionByName(close.select("a", "b", "differ", F.col("b").alias("of")))
         close = close.groupBy("of").agg(F.min(F.struct("differ", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
         edges, comps, some = joined(edges, comps, _overlaps(sets, close, route_keys))
@@ -599,7 +605,7 @@ def jaccard_components(
     roots = linked.join(tops, "a").select(F.col("b").alias("key"), F.col("a").alias("root"), (F.col("size_a") + F.col("size_b") - 2 * F.col("overlap")).alias("far"))
     labels = cut(comps.join(roots, "key", "left").select("key", "comp", F.coalesce("root", "key").alias("root"), F.coalesce("far", F.lit(0)).alias("far")))
 
-    pairs = refuted(_between(lists, labels, numer, denom, list_chunk))
+    pairs = refuted(_between(lists, labels, cells, numer, denom, list_chunk, common))
 
     # of these, each class is checked against the one that its parities are nearest to
     ends = pairs.select("a", "b", "differ", F.col("a").alias("of"), F.col("b").alias("to")).unionByName(pairs.select("a", "b", "differ", F.col("b").alias("of"), F.col("a").alias("to")))
