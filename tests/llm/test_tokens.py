@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 P = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
@@ -83,6 +84,71 @@ def test_store_round_trip(spark, keys_per_bucket):
     assert store.get(500)[0].tolist() == ids_of("words", "x " * 9000, 2).tolist()
 
 
+def test_buckets_are_those_of_spark(spark):
+    rows = spark.range(-50, 1000).select(F.col("id").alias("key")).union(spark.createDataFrame([(9_000_000_000_000,), (-(1 << 63),), ((1 << 63) - 1,)], "key long"))
+    for n in (1, 7, 50, 4096):
+        assert all(token_store.bucket_of(r.key, n) == r.b for r in rows.select("key", token_store._bucket(n).alias("b")).collect())
+
+
+def test_keys_that_are_strings(spark):
+    uri = "file://" + tempfile.mkdtemp()
+    docs = frame(spark).select(F.concat(F.lit("k-"), F.col("doc_id").cast("string")).alias("doc_id"), "text")
+    token_store.write_store(docs, uri, P.path(FILES["words"]), keys_per_bucket=5)
+    rows = token_store.read_keys(docs, uri, with_ids=True).collect()
+    named = lambda i: None if i is None else f"k-{i}"
+    assert Counter((r.doc_id, bytes(r.ids)) for r in rows) == Counter((named(i), ids_of("words", t, 2).tobytes()) for i, t in ROWS)
+    store = token_store.TokenStore(uri)
+    assert [len(store.get(k)) for k in ("k-600", "k-501", None, "k-77")] == [300, 2, 2, 0]
+
+
+def test_a_task_opens_few_files(spark, monkeypatch):
+    """Of 50 index buckets and 8 shards each of 8 tasks reads its own share."""
+    uri = "file://" + tempfile.mkdtemp()
+    docs = spark.range(0, 4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text of "), "id").alias("text"))
+    store = token_store.write_store(docs, uri, P.path(FILES["words"]), shards=8, keys_per_bucket=80)
+    assert store["n_buckets"] > 50 and len(store["records"]) == 8
+    opened: list[str] = []
+    own_read, own_open = token_store._read, token_store._open
+
+    class Files:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def open_input_file(self, path):
+            opened.append(path[-13:])
+            return self.fs.open_input_file(path)
+
+    monkeypatch.setattr(token_store, "_open", lambda u: (Files(own_open(u)[0]), own_open(u)[1]))
+    monkeypatch.setattr(token_store, "_read", lambda u, name: (opened.append(name), own_read(u, name))[1])
+    asked = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("key")).withColumn("bucket", token_store._bucket(store["n_buckets"]))
+    asked = asked.repartition(8, "bucket").sortWithinPartitions("bucket").toArrow().to_batches()  # a batch for each task
+    parts, most = [], 0
+    for batch in asked:
+        opened.clear()
+        parts += list(token_store._look_up(uri, store, 8)([batch]))
+        most = max(most, len(opened))
+    assert most <= 20  # a fair share is 7 of 51
+    table = pa.Table.from_batches(parts).sort_by([("range", "ascending"), ("shard", "ascending"), ("record", "ascending")])
+    n = 0
+    for k in range(8):
+        own = table.filter(pa.compute.equal(table["range"], k)).combine_chunks().to_batches()
+        opened.clear()
+        n += sum(len(b) for b in token_store._payload(uri, store, 0)(own))
+        assert len({f for f in opened if f.endswith(".bin")}) <= 2 and len(opened) <= 4
+    assert n == 4000
+
+
+def test_look_ups_need_no_spark(tmp_path, spark):
+    import subprocess
+    import sys
+
+    uri = f"file://{tmp_path}/store"
+    token_store.write_store(frame(spark), uri, P.path(FILES["words"]), keys_per_bucket=7)
+    code = f"from treeflow.llm.token_store import TokenStore; s = TokenStore({uri!r}); print(len(s.get(600)), s.get(500)[0].size, len(s.get(77)))"
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split()
+    assert out == ["300", str(len(ids_of("words", "x " * 9000, 2))), "0"]
+
+
 def test_store_of_no_rows(spark):
     uri = "file://" + tempfile.mkdtemp()
     none = frame(spark).limit(0)

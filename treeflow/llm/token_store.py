@@ -17,26 +17,32 @@ the next level.  Its slot is the number of set bits before its own, so n keys ge
 Shards are written by the tasks that hold them after one range shuffle of the texts by
 (key, text hash), so even a key that holds a third of all rows spreads over shards.  A file
 gets its name only when complete and depends on its rows alone: repeated tasks are harmless.
+
+Keys are read back by bucket, so a task opens few index files, and then by contiguous ranges
+of records, so a task reads its slice of a few shards from end to end, many records at once.
 """
 
 from __future__ import annotations
 
 import json
+import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _text as T
 from ._spark import cut, ship, shuffle_partitions
 from ._tokens import encoded, encoder
 
-KEYS_PER_BUCKET = 1 << 20
+KEYS_PER_BUCKET = 1 << 18
 MAX_LEVELS = 48
+#: least keys of a task that looks keys up; bytes of one read, and those read over for nothing
+LOOK_UP_KEYS, READ_BYTES, GAP_BYTES = 16_384, 4 << 20, 64 << 10
 
 
 def _open(uri: str):
@@ -144,10 +150,32 @@ class Bucket:
 # --- writing --------------------------------------------------------------------------
 
 
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
+
 def key_hash(col: str, kind: str) -> Column:
     """64-bit key hash; integers keep their value (a bijection), others are hashed."""
     c = F.col(col)
-    return c.cast("long") if kind in ("tinyint", "smallint", "int", "bigint") else F.xxhash64(c.cast("string"))
+    return c.cast("long") if kind in INTEGERS else F.when(c.isNotNull(), F.xxhash64(c.cast("string")))
+
+
+# The primes of XXH64.
+_P1, _P2, _P3, _P4, _P5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+_64 = (1 << 64) - 1
+
+
+def _rotated(x: int, n: int) -> int:
+    return (x << n | x >> (64 - n)) & _64
+
+
+def bucket_of(key: int, n: int) -> int:
+    """The bucket of a key hash, as _bucket() gives it in Spark: XXH64 of its eight bytes."""
+    h = (42 + _P5 + 8) & _64
+    h ^= _rotated((key & _64) * _P2 & _64, 31) * _P1 & _64
+    h = (_rotated(h, 27) * _P1 + _P4) & _64
+    for shift, prime in ((33, _P2), (29, _P3), (32, 1)):
+        h = (h ^ h >> shift) * prime & _64
+    return struct.unpack("<q", struct.pack("<Q", h))[0] % n
 
 
 def _shards(uri, path, splitting, end_id, special, width):
@@ -219,7 +247,9 @@ def write_store(docs: DataFrame, uri: str, tokenizer: str, id_col="doc_id", text
 
     A null or empty text is a record of the end id alone.  Records of a null key come first;
     records of equal keys stand together in the order of their texts' hashes.  No rows give a
-    store without shards.  `width`: bytes of an id; ids that need more raise an error.
+    store without shards.  `width`: bytes of an id; ids that need more raise an error.  Keys
+    that are no integers are known by 64-bit hashes: two keys of one hash, a chance of 1 in
+    2**64 for a pair, would each be given the records of both.
     """
     spark = ship(docs.sparkSession)
     if end_id >= 1 << 8 * width:
@@ -252,13 +282,20 @@ def write_store(docs: DataFrame, uri: str, tokenizer: str, id_col="doc_id", text
 # --- reading --------------------------------------------------------------------------
 
 
-def _runs(store, shard, record, n):
-    """A run of records as (shard, first record, records) for each shard it covers."""
+def _runs(store, shard, record, n, ranges: int = 1):
+    """A run of records as (range, shard, first record, records) for each shard and range of
+    records it covers; there are `ranges` equal ranges over all shards."""
+    total = sum(store["records"])
+    before = sum(store["records"][:shard]) + record
     while n > 0:
-        k = min(n, store["records"][shard] - record)
+        at = before * ranges // total
+        end = -(-(at + 1) * total // ranges)  # the first record of the next range
+        k = min(n, store["records"][shard] - record, end - before)
         if k > 0:
-            yield shard, record, k
-        shard, record, n = shard + 1, 0, n - k
+            yield at, shard, record, k
+        before, record, n = before + k, record + k, n - k
+        if record == store["records"][shard]:
+            shard, record = shard + 1, 0
 
 
 def _bucket_file(uri: str, store: dict, bucket: int) -> Bucket:
@@ -267,13 +304,17 @@ def _bucket_file(uri: str, store: dict, bucket: int) -> Bucket:
     return Bucket(np.zeros(2, "<i8").tobytes())
 
 
-def _look_up(uri, store):
+def _look_up(uri, store, ranges):
+    """Rows sorted by bucket -> where their records are."""
+    records = np.array(store["records"], np.int64)
+    before, total = T.starts_of(records), int(records.sum())
+
     def run(batches):
         opened: tuple[int, Bucket | None] = (-1, None)
         for batch in batches:
             ids, keys, buckets = T.column(batch, "id"), T.column(batch, "key"), T.column(batch, "bucket").to_pylist()
             place = np.array(buckets, np.int64)
-            row, runs = [], []
+            row, runs, plain = [], [], []
             cuts = [0, *(np.flatnonzero(place[1:] != place[:-1]) + 1).tolist(), len(place)]
             for lo, hi in zip(cuts, cuts[1:], strict=False):
                 if hi == lo:
@@ -284,16 +325,21 @@ def _look_up(uri, store):
                     if opened[0] != buckets[lo]:
                         opened = (buckets[lo], _bucket_file(uri, store, buckets[lo]))
                     there, slot = opened[1].find(T.mix(keys.slice(lo, hi - lo).to_numpy().view(np.uint64)))
-                    found = (lo + np.flatnonzero(there)).tolist()
+                    found = lo + np.flatnonzero(there)
                     e = opened[1].table[slot[there]]
-                    entries = zip(e["shard"].tolist(), e["record"].tolist(), e["n"].tolist(), strict=True)
+                    one = e["n"] == 1  # most keys have one record
+                    shard, record = e["shard"][one].astype(np.int64), e["record"][one]
+                    plain.append((found[one], (before[shard] + record) * ranges // max(total, 1), shard, record, np.ones(len(shard), np.int64)))
+                    more = e[~one]
+                    found, entries = found[~one].tolist(), zip(more["shard"].tolist(), more["record"].tolist(), more["n"].tolist(), strict=True)
                 for i, entry in zip(found, entries, strict=True):
                     if entry:
-                        for r in _runs(store, *entry):
+                        for r in _runs(store, *entry, ranges):
                             row.append(i)
                             runs.append(r)
-            cols = list(zip(*runs, strict=True)) or [[], [], []]
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(row, pa.int64())), pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], ["id", "shard", "record", "n"])
+            plain.append([np.array(c, np.int64) for c in (row, *(list(zip(*runs, strict=True)) or [[]] * 4))])
+            at, *cols = (np.concatenate(c) for c in zip(*plain, strict=True))
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), pa.array(cols[0].astype(np.int32)), pa.array(cols[1].astype(np.int32)), pa.array(cols[2]), pa.array(cols[3])], ["id", "range", "shard", "record", "n"])
 
     return run
 
@@ -302,25 +348,44 @@ def _payload(uri, store, with_ids):
     kind = np.dtype(f"<u{store['width']}")
     bases = T.starts_of(np.array(store["ids"], np.int64))
 
+    def made(batch, row, out):
+        cols = [pa.array(c, t) for c, t in zip(list(zip(*out, strict=True)) or [[]] * (3 + with_ids), [pa.int64()] * 3 + [pa.binary()] * with_ids, strict=True)]
+        return pa.RecordBatch.from_arrays([T.column(batch, "id").take(pa.array(row, pa.int64())), *cols], ["id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids])
+
     def run(batches):
-        shard, off, file = -1, None, None
         fs, root = _open(uri)
         for batch in batches:
-            cols = [T.column(batch, c).to_pylist() for c in ("shard", "record", "n")]
+            shard, record, n = (T.column(batch, c).to_numpy().astype(np.int64) for c in ("shard", "record", "n"))
             row, out = [], []
-            for i, (s, record, n) in enumerate(zip(*cols, strict=True)):
-                if s != shard:
-                    if file:
-                        file.close()
-                    shard, off = s, np.frombuffer(_read(uri, f"ids/{s:05d}.off"), "<i8")
-                    file = fs.open_input_file(f"{root}/ids/{s:05d}.bin")
-                for r in range(record, record + n):
-                    a, b = int(off[r]), int(off[r + 1])
-                    raw = np.frombuffer(file.read_at((b - a) * kind.itemsize, a * kind.itemsize), kind).astype("<u4")
-                    row.append(i)
-                    out.append((int(bases[s]) + a, b - a, zlib.crc32(raw.tobytes()), *([raw.tobytes()] if with_ids else [])))
-            made = [pa.array(c, t) for c, t in zip(list(zip(*out, strict=True)) or [[]] * (3 + with_ids), [pa.int64()] * 3 + [pa.binary()] * with_ids, strict=True)]
-            yield pa.RecordBatch.from_arrays([T.column(batch, "id").take(pa.array(row, pa.int64())), *made], ["id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids])
+            # runs of one shard that follow each other closely share their reads
+            apart = np.flatnonzero((shard[1:] != shard[:-1]) | (record[1:] - record[:-1] - n[:-1] > GAP_BYTES // 8)) + 1
+            cuts = [0, *apart.tolist(), len(shard)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if lo == hi:
+                    continue
+                s, first = int(shard[lo]), int(record[lo])
+                with fs.open_input_file(f"{root}/ids/{s:05d}.off") as f:
+                    off = np.frombuffer(f.read_at(8 * (int(record[hi - 1] + n[hi - 1]) - first + 1), 8 * first), "<i8")
+                which = np.repeat(np.arange(lo, hi), n[lo:hi])
+                at = T.ragged(record[lo:hi] - first, n[lo:hi])
+                begin, end = off[at], off[at + 1]
+                with fs.open_input_file(f"{root}/ids/{s:05d}.bin") as f:
+                    i = 0
+                    while i < len(at):
+                        j = i + 1
+                        while j < len(at) and (begin[j] - end[j - 1]) * kind.itemsize <= GAP_BYTES and (end[j] - begin[i]) * kind.itemsize <= READ_BYTES:
+                            j += 1
+                        a = int(begin[i])
+                        raw = np.frombuffer(f.read_at((int(end[j - 1]) - a) * kind.itemsize, a * kind.itemsize), kind)
+                        for k in range(i, j):
+                            own = raw[begin[k] - a : end[k] - a].astype("<u4").tobytes()
+                            row.append(which[k])
+                            out.append((int(bases[s] + begin[k]), int(end[k] - begin[k]), zlib.crc32(own), *([own] if with_ids else [])))
+                        i = j
+                        if with_ids and len(row) > 4096:
+                            yield made(batch, row, out)
+                            row, out = [], []
+            yield made(batch, row, out)
 
     return run
 
@@ -334,40 +399,41 @@ def read_keys(keys: DataFrame, uri: str, id_col: str = "doc_id", with_ids: bool
     n_parts = shuffle_partitions(spark)
     asked = keys.select(F.col(id_col).alias("id")).distinct().select("id", key_hash("id", kind).alias("key"))
     asked = asked.withColumn("bucket", F.when(F.col("key").isNull(), F.lit(-1)).otherwise(_bucket(store["n_buckets"])))
-    # a bucket is read by several tasks, so a few large ones still spread
-    found = asked.repartition(n_parts, "id").sortWithinPartitions("bucket").mapInArrow(_look_up(uri, store), f"id {kind}, shard int, record long, n long")
-    by_shard = found.repartition(n_parts, "shard", F.floor(F.col("record") / 4096)).sortWithinPartitions("shard", "record")
-    out = by_shard.mapInArrow(_payload(uri, store, int(with_ids)), f"id {kind}, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
+    # where there are fewer buckets than tasks, a large one is shared by some
+    shares = max(1, min(-(-n_parts // store["n_buckets"]), sum(store["records"]) // store["n_buckets"] // LOOK_UP_KEYS))
+    asked = asked.withColumn("share", F.pmod(F.hash("id"), F.lit(shares)))
+    found = asked.repartition(n_parts, "bucket", "share").sortWithinPartitions("bucket").mapInArrow(_look_up(uri, store, n_parts), f"id {kind}, range int, shard int, record long, n long")
+    by_range = found.repartitionById(n_parts, F.col("range")).sortWithinPartitions("shard", "record")
+    out = by_range.mapInArrow(_payload(uri, store, int(with_ids)), f"id {kind}, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
     return out.withColumnRenamed("id", id_col)
 
 
 class TokenStore:
-    """Keyed access from one process."""
+    """Keyed access from one process, without Spark."""
 
     def __init__(self, uri: str):
         self.uri, self.meta, self.buckets = uri, json.loads(_read(uri, "store.json")), {}
 
-    def get(self, key: int | None) -> list[np.ndarray]:
-        """The ids of every record of an integer key."""
+    def get(self, key: int | str | None) -> list[np.ndarray]:
+        """The ids of every record of a key, an integer or a string as in the written table."""
         if key is None:
             entry = self.meta["null"]
         else:
-            b = _spark_bucket(key, self.meta["n_buckets"])
+            if self.meta["key"] not in INTEGERS:
+                import xxhash
+
+                key = struct.unpack("<q", struct.pack("<Q", xxhash.xxh64(str(key).encode(), seed=42).intdigest()))[0]
+            b = bucket_of(key, self.meta["n_buckets"])
             if b not in self.buckets:
                 self.buckets[b] = _bucket_file(self.uri, self.meta, b)
             there, slot = self.buckets[b].find(T.mix(np.array([key], np.int64).view(np.uint64)))
             entry = self.buckets[b].table[slot[0]].tolist()[1:] if there[0] else None
         out, fs = [], _open(self.uri)
         kind = np.dtype(f"<u{self.meta['width']}")
-        for shard, record, n in _runs(self.meta, *entry) if entry else ():
+        for _, shard, record, n in _runs(self.meta, *entry) if entry else ():
             with fs[0].open_input_file(f"{fs[1]}/ids/{shard:05d}.off") as f:
                 off = np.frombuffer(f.read_at(8 * (n + 1), 8 * record), "<i8")
             with fs[0].open_input_file(f"{fs[1]}/ids/{shard:05d}.bin") as f:
                 for a, b in zip(off.tolist(), off[1:].tolist(), strict=False):
                     out.append(np.frombuffer(f.read_at((b - a) * kind.itemsize, a * kind.itemsize), kind).astype(np.uint32))
         return out
-
-
-def _spark_bucket(key: int, n: int) -> int:
-    spark = SparkSession.getActiveSession()
-    return spark.range(1).select(F.lit(key).cast("long").alias("key")).select(_bucket(n)).first()[0] if n > 1 else 0
