@@ -8,8 +8,11 @@ window repeats.
 Learning is sequential covering.  Labelled statistics are binned once at quantiles; every
 step of growing a rule is one grouped count of (statistic, bin, fold, label), whose size is
 bounded by the bins, and the driver takes the threshold of most information gain (FOIL).
-A grown rule is pruned from its end on the other fold, and kept if precise enough there.
-Covered rows leave, and the next rule is grown.  The rules become one ordered CASE.
+A grown rule is pruned from its end on another fold, or on all rows while that fold has too
+few bad ones to judge by.  It is kept if precise enough there and if its likelihood ratio
+against the share of bad rows is significant, which asks for more rows the less rare they are,
+however few labels there are.  Covered rows leave, and the next rule is grown.  The rules
+become one ordered CASE.
 """
 
 from __future__ import annotations
@@ -24,7 +27,9 @@ from ._spark import cut
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 BINS, MAX_RULES, MAX_CONDITIONS = 16, 12, 4
-MIN_PRECISION, MIN_COVERED, TRAIN_ROWS = 0.95, 5, 200_000
+MIN_PRECISION, TRAIN_ROWS = 0.95, 200_000
+#: bad rows from which a fold of its own judges rules; chi-squared of one degree at 0.1 percent
+MIN_FOLD, MIN_LIKELIHOOD = 20, 10.83
 
 _WHITE = "[\\x20\\x09-\\x0D]+"
 #: name of a learned statistic -> how it follows from the counts
@@ -51,7 +56,8 @@ def statistics_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """id_col and the counts of each whole text; a null or empty text has none.
 
     Words are maximal runs without [\\x20\\x09-\\x0D]; lines, those with a word, are split
-    at \\n.  Rows are taken singly, so ids may repeat or be null.
+    at \\n.  Rows are taken singly, so ids may repeat or be null.  A text's arrays are held
+    whole: its task needs some 100 bytes for each word of the longest text.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     a = docs.select(F.col(id_col).alias("_id"), text.alias("_t"))
@@ -134,7 +140,14 @@ def _best(counts: dict, thresholds: dict[str, list[float]], p0: int, n0: int) ->
     return best
 
 
-def learn(stats: DataFrame, labels: DataFrame, id_col="doc_id", label_col="quality", bins=BINS, max_rules=MAX_RULES, max_conditions=MAX_CONDITIONS, min_precision=MIN_PRECISION, min_covered=MIN_COVERED, train_rows=TRAIN_ROWS) -> list[Rule]:
+def _likelihood_ratio(p: int, q: int, bad: int, good: int) -> float:
+    """Twice the logarithm of how much likelier p bad and q good rows are by their own shares
+    than by those of all rows."""
+    share = lambda n, own, every: n * math.log(own / every) if n else 0.0
+    return 2 * (share(p, p / max(p + q, 1), bad / (bad + good)) + share(q, q / max(p + q, 1), good / (bad + good)))
+
+
+def learn(stats: DataFrame, labels: DataFrame, id_col="doc_id", label_col="quality", bins=BINS, max_rules=MAX_RULES, max_conditions=MAX_CONDITIONS, min_precision=MIN_PRECISION, min_fold=MIN_FOLD, min_likelihood=MIN_LIKELIHOOD, train_rows=TRAIN_ROWS) -> list[Rule]:
     """Rules for label 0, in order.
 
     Learns from at most about `train_rows` labelled rows that pass the base rules, chosen
@@ -158,9 +171,13 @@ def learn(stats: DataFrame, labels: DataFrame, id_col="doc_id", label_col="quali
     placed = F.explode(F.array(*(F.struct(F.lit(name).alias("f"), sum((F.when(f() >= t, 1).otherwise(0) for t in thresholds[name]), F.lit(0)).alias("b")) for name, f in FEATURES.items()))).alias("x")
     left, rules = rows, []
     while len(rules) < max_rules:
+        rest = {(r["prune"], r["bad"]): r["count"] for r in left.groupBy("prune", "bad").count().collect()}
+        apart = rest.get((True, True), 0) >= min_fold
+        grown, judged = (~F.col("prune"), F.col("prune")) if apart else (F.lit(True), F.lit(True))
+        bad, good = (sum(rest.get((fold, b), 0) for fold in ((True,) if apart else (True, False))) for b in (True, False))
         rule: list[Condition] = []
         while len(rule) < max_conditions:
-            got = left.filter(~F.col("prune") & _all(rule)).select("bad", placed).groupBy("x.f", "x.b", "bad").count().collect()
+            got = left.filter(grown & _all(rule)).select("bad", placed).groupBy("x.f", "x.b", "bad").count().collect()
             counts: dict = {}
             for r in got:
                 p, q = counts.get((r["f"], r["b"]), (0, 0))
@@ -173,12 +190,12 @@ def learn(stats: DataFrame, labels: DataFrame, id_col="doc_id", label_col="quali
             rule.append(best[1])
         if not rule:
             break
-        held = left.filter("prune").agg(*(F.sum(F.when(_all(rule[: k + 1]) & (F.col("bad") == bad), 1).otherwise(0)).alias(f"c{k}{int(bad)}") for k in range(len(rule)) for bad in (False, True))).first()
+        held = left.filter(judged).agg(*(F.sum(F.when(_all(rule[: k + 1]) & (F.col("bad") == b), 1).otherwise(0)).alias(f"c{k}{int(b)}") for k in range(len(rule)) for b in (False, True))).first()
         value = [((held[f"c{k}1"] or 0), (held[f"c{k}0"] or 0)) for k in range(len(rule))]
-        worth = [(p - q) / (p + q) if p + q else -1.0 for p, q in value]
+        worth = [(p + 1) / (p + q + 2) for p, q in value]
         keep = max(range(len(rule)), key=lambda k: (worth[k], -k))
         p, q = value[keep]
-        if p < min_covered or p / (p + q) < min_precision:
+        if p < min_precision * (p + q) or _likelihood_ratio(p, q, bad, good) < min_likelihood:
             break
         rules.append(tuple(rule[: keep + 1]))
         left = left.filter(~_all(rules[-1]))
