@@ -68,3 +68,30 @@ def test_the_vocabulary_blocks_unwanted_urls_and_no_clean_ones(spark):
     assert not [u for i, u in enumerate(UNWANTED + CLEAN) if i in blocked and u in CLEAN]
     assert len(blocked) >= 0.9 * len(UNWANTED)
     assert not set(X.STRICT) & set(X.SOFT) and len({*X.STRICT, *X.SOFT}) == len(X.STRICT) + len(X.SOFT)
+
+
+def test_thousands_of_overlapping_terms_of_a_table(spark):
+    """Terms that are parts of each other; the vocabulary decides a large share of the rows."""
+    import random
+
+    rng = random.Random(9)
+    words = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(2, 9))) for _ in range(6000)})
+    rows = [(w.upper() if i % 5 == 0 else w, "strict" if i % 40 == 0 else "soft") for i, w in enumerate(words)]
+    table = spark.createDataFrame([*rows, (None, "soft"), ("", "strict"), (words[41], "strict")], "term string, kind string")
+    strict, soft = X.read_terms(table)
+    assert set(strict) == {w for i, w in enumerate(words) if i % 40 == 0} | {words[41]} and set(soft) == set(words) - set(strict)
+    part = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(1, 6)))
+    urls = ["http://" + rng.choice("./-_%").join(part() for _ in range(rng.randint(1, 6))) for _ in range(400)]
+    got = {r.page_id: r for r in X.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules=(), strict=strict, soft=soft).collect()}
+    for i, u in enumerate(urls):
+        found = re.findall("[a-z0-9]+", u)
+        own = sum(w in set(strict) for w in found), len({w for w in found if w in set(soft)})
+        assert (got[i].n_strict, got[i].n_soft) == own
+        assert got[i].verdict == ("block" if own[0] or own[1] >= 2 else "allow")
+    assert 0.2 < sum(r.verdict == "block" for r in got.values()) / len(got) < 0.98
+
+
+def test_the_vocabulary_decides_rows_of_the_table(spark):
+    pages = spark.read.parquet(f"{DATA.replace('sf0.001', 'sf0.1')}/pages.parquet")
+    out = X.judge_urls(pages).filter("rule is null").groupBy("verdict").count().collect()
+    assert {r.verdict: r["count"] for r in out}["block"] >= 50

@@ -13,6 +13,7 @@ from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import _text as T
 from ._spark import ship
@@ -42,6 +43,7 @@ SOFT = (
     "win", "wins", "winner", "winners", "winning", "free", "cheap", "cheapest", "bonus", "bonuses", "prize", "prizes",
 )
 SOFT_LIMIT = 2
+MAX_TERMS = 1_000_000
 #: (rule, verdict); a rule is a host, then its path from the first slash
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 
@@ -79,6 +81,22 @@ def fitting_rule(by_host, host: str, path: str) -> tuple[str, str] | None:
     return best
 
 
+def read_terms(table: DataFrame, term_col: str = "term", kind_col: str = "kind", most: int = MAX_TERMS) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """(strict, soft) terms of a table with a row for each: its term, and `strict` or `soft`.
+
+    A term that is given as both is strict; null and empty terms are left out, and another kind
+    is an error.  The terms go to every task, so a table of more than `most` is an error too."""
+    rows = table.select(F.translate(term_col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("term"), F.col(kind_col).alias("kind")).filter("term <> ''").distinct()
+    if rows.count() > most:
+        raise ValueError(f"more than {most} terms")
+    by = {"strict": set(), "soft": set()}
+    for r in rows.collect():
+        if r.kind not in by:
+            raise ValueError(f"unknown kind of term: {r.kind}")
+        by[r.kind].add(r.term)
+    return tuple(sorted(by["strict"])), tuple(sorted(by["soft"] - by["strict"]))
+
+
 @cache
 def _automaton(strict: tuple[str, ...], soft: tuple[str, ...]):
     import ahocorasick
