@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
+from tests.conftest import DATA
 from tests.llm.common import EDGES, with_clashes
 from treeflow.llm import language_id as X
 
@@ -111,3 +112,56 @@ def test_drop_unknown(spark, model):
     df = with_clashes(spark.createDataFrame([(1, SAMPLES["en"]), (2, "--"), (3, None), (4, "日本語")], "doc_id long, text string"), ["score", "lang_pred"])
     out = X.drop_unknown(df, model)
     assert out.columns == df.columns and [r.doc_id for r in out.collect()] == [1]
+
+
+def gram_buckets(word, sizes, buckets):
+    """The n-grams of one word with a boundary on either side, hashed in plain integers."""
+    padded, out = [0, *(ord(c) for c in word.lower()), 0], []
+    for size in sizes:
+        for i in range(len(padded) - size + 1):
+            if size > 1 or padded[i]:
+                h = size
+                for c in padded[i : i + size]:
+                    h = (h ^ c) * 0x9E3779B97F4A7C15 % (1 << 64)
+                    h ^= h >> 29
+                out.append(h % buckets)
+    return out
+
+
+def test_counts_and_word_scores_by_brute_force(spark):
+    import math
+    import re
+
+    rows = [(i, " ".join(ws), lang) for i, (ws, lang) in enumerate([(["Der", "Hund", "und", "die", "Katze"], "de"), (["the", "dog", "and", "A", "cat"], "en"), (["кот", "и", "Собака"], "ru"), (["und", "der", "the"], "de")] * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = X.train(docs, buckets=512, train_docs=10**6)
+    known = [(t, lang) for r in docs.filter(~X.held_out()).collect() for t, lang in [(r.text, r.lang)]]
+    langs = sorted({lang for _, lang in known})
+    assert model.langs == langs
+    counts, script = [[0] * len(langs) for _ in range(512)], {}
+    for text, lang in known:
+        for word in re.findall(r"\w+", text):
+            for b in gram_buckets(word, X.SIZES, 512):
+                counts[b][langs.index(lang)] += 1
+            own = "cyrillic" if ord(word[0]) > 1000 else "latin"
+            script[own, lang] = script.get((own, lang), 0) + 1
+    total = [sum(c[j] for c in counts) + 0.5 * 512 for j in range(len(langs))]
+    words_seen = ["Hund", "the", "кот", "x", "Unbekannt", "собака", "a"]
+    w = X.Words([" ".join(words_seen)], 512, X.SIZES)
+    got = model.scores(w)
+    for i, word in enumerate(words_seen):
+        own = "cyrillic" if ord(word[0]) > 1000 else "latin"
+        logs = [sum(math.log((counts[b][j] + 0.5) / total[j]) for b in gram_buckets(word, X.SIZES, 512)) if script.get((own, lang)) else -math.inf for j, lang in enumerate(langs)]
+        best = max(logs)
+        assert [float(x) for x in got[i]] == pytest.approx([max(x - best, -X.FLOOR) for x in logs], abs=1e-3)
+
+
+def test_order_of_texts_does_not_matter(spark):
+    """Long and short texts share groups by length; every text keeps its own answer."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    model = X.train(docs)
+    rows = [(r.doc_id, (r.text or "") * (40 if r.doc_id % 17 == 0 else 1)) for r in docs.collect()]
+    got = {r.doc_id: r for r in X.predict(spark.createDataFrame(rows, "doc_id long, text string"), model, spans=True).collect()}
+    for i, t in rows:
+        langs, share, spans = X._label(model, [t], X.SWITCH, True)
+        assert (got[i].lang_pred, got[i].score) == (langs[0], pytest.approx(share[0])) and [s.asDict() for s in got[i].spans] == spans[0]

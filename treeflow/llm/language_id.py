@@ -26,7 +26,7 @@ from ._spark import fields, ship, with_places
 
 TRAIN_DOCS, BUCKETS, SIZES = 5000, 1 << 16, (1, 2, 3, 4)
 SWITCH, FLOOR, MIN_SHARE, MIN_SCORE = 12.0, 10.0, 0.001, 0.4
-_GROUP = 8 << 20
+_GROUP = 4 << 20
 _PLANES = 0x20000
 
 
@@ -256,7 +256,9 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
     score is the share of letters labelled lang_pred.  A null text, or one without a letter,
     is `und` with score 0, as is every text if nothing could be learned.  A text whose
     scripts no learned language uses gets the first language with a score near 0.  Columns
-    of docs named like the new ones are replaced.  Each row is judged by its text alone.
+    of docs named like the new ones are replaced.  Each row is judged by its text alone, so
+    ids may repeat or be null.  A task holds some 100 bytes for each character of its longest
+    text, and of a group of shorter ones.
     spans: code point ranges [start, end) with their language, in order.
     """
     spark = ship(docs.sparkSession)
@@ -271,22 +273,21 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
         model = shared.value
         for batch in batches:
             every = [t or "" for t in T.column(batch, "_text").to_pylist()]
-            langs, shares, found = [], [], []
+            # texts of like length share a group: a group takes as many steps as its longest text
+            order = np.argsort([len(t) for t in every], kind="stable")
+            langs, share, found = np.full(len(every), "und", object), np.zeros(len(every)), [[] for _ in every]
             at = 0
-            while at < len(every):
+            while model and at < len(every):
                 size, end = 0, at
                 while end < len(every) and (size < _GROUP):
-                    size += len(every[end])
+                    size += len(every[order[end]])
                     end += 1
-                if model:
-                    a, b, c = _label(model, every[at:end], switch, spans)
-                else:
-                    a, b, c = ["und"] * (end - at), np.zeros(end - at), [[] for _ in range(at, end)]
-                langs += a
-                shares.append(b)
-                found += c or []
+                own = order[at:end]
+                langs[own], share[own], some = _label(model, [every[i] for i in own], switch, spans)
+                for i, x in zip(own.tolist(), some or (), strict=False):
+                    found[i] = x
                 at = end
-            made = [pa.array(langs, pa.string()), pa.array(np.concatenate([*shares, np.zeros(0)]), pa.float64())]
+            made = [pa.array(langs, pa.string()), pa.array(share, pa.float64())]
             if spans:
                 made.append(pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))))
             yield pa.RecordBatch.from_arrays([*(T.column(batch, c) for c in carried), *made], [*carried, *new])
