@@ -127,3 +127,82 @@ def test_values_beside_other_numbers(text, values, kinds):
 @pytest.mark.parametrize("text", ["4111 1111 1111 1112 12", "2353820953013749 17", "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16", "GB83 WEST 1234 5698 7654 32 1234"])
 def test_invalid_values_beside_other_numbers_stay(text):
     assert masked(f"a {text} b") == (f"a {text} b", {})
+
+
+# --- judged by checks of this test's own --------------------------------------------------------
+
+
+def luhn_total(digits):
+    return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed([int(c) for c in digits])))
+
+
+def mod_97(iban):
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def made_values(kind, n):
+    """Random valid values of one kind."""
+    import datetime
+    import random
+
+    r = random.Random(kind)
+    digits = lambda k: "".join(r.choice("0123456789") for _ in range(k))
+    for _ in range(n):
+        if kind == "card":
+            body = r.choice(["4", "51", "55"]) + digits(13)
+            body = body[:15]
+            body += digits(15 - len(body))
+            yield body + str(next(c for c in range(10) if luhn_total(body + str(c)) % 10 == 0))
+        elif kind == "iban":
+            body = digits(18)
+            yield f"DE{98 - mod_97('DE00' + body):02d}{body}"
+        elif kind == "date":
+            yield (datetime.date(1950, 1, 1) + datetime.timedelta(r.randrange(25_000))).isoformat()
+        else:
+            yield ".".join(str(r.randrange(1, 255)) for _ in range(4))
+
+
+def valid(kind, value):
+    import datetime
+    import ipaddress
+
+    if kind == "card":
+        return len(value) == 16 and value.isdigit() and luhn_total(value) % 10 == 0
+    if kind == "iban":
+        return value[:2] == "DE" and value[2:].isdigit() and mod_97(value) == 1
+    try:
+        return bool(datetime.date.fromisoformat(value) if kind == "date" else ipaddress.IPv4Address(value))
+    except ValueError:
+        return False
+
+
+@pytest.mark.parametrize("kind", ["card", "iban", "date", "ip"])
+def test_pseudonyms_pass_the_checks_of_their_kind(spark, kind):
+    values = sorted(set(made_values(kind, 400)))
+    assert all(valid(kind, v) for v in values)
+    rows = [(i, f"first {v}; again {v}.") for i, v in enumerate(values)] + [(10_000 + i, f"{v} elsewhere") for i, v in enumerate(values)]
+    out = {r.doc_id: r.text for r in X.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), b"key").collect()}
+    new = []
+    for i, v in enumerate(values):
+        own = out[i].removeprefix("first ").split(";")[0]
+        assert valid(kind, own) and own != v
+        assert out[i] == f"first {own}; again {own}." and out[10_000 + i] == f"{own} elsewhere"
+        new.append(own)
+    assert len(set(new)) == len(values)
+
+
+def test_the_registered_query_reads_its_key_from_a_file(spark, tmp_path):
+    from tests.conftest import DATA
+    from treeflow.llm.queries import KEY_FILE, op1_feistel
+
+    rows = lambda: sorted((r.doc_id, r.text) for r in op1_feistel(spark, DATA).collect())
+    demo = rows()
+    (tmp_path / "key").write_bytes(b"another key")
+    spark.conf.set(KEY_FILE, str(tmp_path / "key"))
+    try:
+        other = rows()
+    finally:
+        spark.conf.unset(KEY_FILE)
+    assert [i for i, _ in demo] == [i for i, _ in other] and demo != other and rows() == demo
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    assert any(docs[i] != t for i, t in demo) and {i: t for i, t in demo if not any(c.isdigit() or c == "@" for c in t)} == {i: t for i, t in docs.items() if not any(c.isdigit() or c == "@" for c in t)}

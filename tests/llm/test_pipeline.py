@@ -76,3 +76,17 @@ def test_run(spark):
     out = pipeline.run(spark, DATA)
     assert out.count() > 0 and "sequence_id" in out.columns
     shutil.rmtree("spark-warehouse", ignore_errors=True)
+
+
+def test_empty_tables_and_null_columns(spark, tmp_path):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    spark.read.parquet(f"{DATA}/benchmark.parquet").limit(0).write.parquet(f"{tmp_path}/none/benchmark.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    # a null in every column, and a text that line dedup empties
+    rows = [(None, None, None, None, None), (None, "Words without an id stand here", None, None, None), *((i, "The same line of words", "en", None, None) for i in range(12))]
+    spark.read.parquet(f"{DATA}/benchmark.parquet").limit(0).write.parquet(f"{tmp_path}/few/benchmark.parquet")
+    spark.createDataFrame(rows, docs.schema).write.parquet(f"{tmp_path}/few/documents.parquet")
+    pieces = pipeline.run(spark, f"{tmp_path}/few").collect()
+    assert sorted(r.doc_id for r in pieces if r.doc_id is not None) == list(range(12)) and sum(r.doc_id is None for r in pieces) == 1
+    assert all(r.length == 1 for r in pieces if r.doc_id is not None)

@@ -90,6 +90,7 @@ def release(owner: str = "") -> None:
     executor's workers do not add up the caches of a whole pipeline."""
     for name in [n for n in _holders if n != owner]:
         _holders.pop(name)()
+    pa.set_memory_pool(pa.system_memory_pool())  # malloc_trim() gives this one's free memory back
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -321,7 +321,8 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col="doc_id", text_col="text",
 
     A null text stays null with n_replaced 0; texts without a digit or @ are passed on as
     they are.  Each row is treated by itself, so repeated rows give equal rows.  Other
-    columns are ignored; no rows give no rows.
+    columns are ignored; no rows give no rows.  A text is searched whole: its task holds some
+    20 bytes a character of it.
     """
     ship(docs.sparkSession)
     kinds = tuple(k for k in KINDS if k in kinds)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +24,18 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-#: A deployment passes its own secret; this one makes the query's results repeatable.
-DEMO_KEY = b"treeflow demonstration key"
+#: A session setting names the file of a deployment's secret; without it the registered query
+#: takes this key, which makes its results repeatable.
+KEY_FILE, DEMO_KEY = "spark.treeflow.pseudonymKeyFile", b"treeflow demonstration key"
+
+
+def pseudonym_key(spark: SparkSession) -> bytes:
+    place = spark.conf.get(KEY_FILE, None)
+    return Path(place).read_bytes() if place else DEMO_KEY
 
 
 def op1_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymise(documents(spark, sf_dir), DEMO_KEY)
+    return pseudonymise(documents(spark, sf_dir), pseudonym_key(spark))
 
 
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
