@@ -3,7 +3,13 @@ join, benchmark decontamination, best-fit packing.
 
 Each stage takes (spark, docs, sf_dir) and gets what its predecessor kept, written as
 Parquet and read again.  All but the last return the columns of `documents`; the last
-returns the packed pieces.
+returns the packed pieces.  run() deletes a stage's folder once the next one is written.
+
+A null or empty text, and one without a letter, goes with language ID.  A text that line dedup
+empties stays, is linked with nothing, and is packed as its end id alone.  Rows with a null id
+all stay but for their own text's faults; rows of equal ids are judged each by its text, and
+of equal ids and texts one stays.  An empty table gives no pieces.  Extra columns are carried
+to the last stage.
 """
 
 from __future__ import annotations
@@ -14,6 +20,7 @@ from pyspark.sql import functions as F
 from treeflow.llm import jaccard_join, language_id, line_dedup, packing, winnow
 from treeflow.llm._spark import documents, new_folder, ship
 from treeflow.llm.queries import tokenizer_path
+from treeflow.shared import remove_folder
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,4 +62,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            remove_folder(spark, f"{folder}/{k - 1}")
     return docs

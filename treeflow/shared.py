@@ -12,13 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session.
 
-    Only where that is unset (a local session, as in tests) is a temporary folder chosen."""
+    Only where that is unset in a local session, as in tests, is a temporary folder chosen; on a
+    cluster, whose executors would each write to a disk of their own, it is an error."""
     have = spark.conf.get("spark.checkpoint.dir", None)
     if not have:
         with contextlib.suppress(Exception):
             have = spark.sparkContext.getCheckpointDir()
             have = have and have.rsplit("/", 1)[0]  # without the folder Spark made below it
     if not have:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         have = "file://" + tempfile.mkdtemp(prefix="treeflow-")
         spark.sparkContext.setCheckpointDir(have)
     return have.rstrip("/")
@@ -32,3 +36,9 @@ def cut(df: DataFrame) -> DataFrame:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, uri: str) -> None:
+    """Deletes a folder of new_folder() that no table is read from any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
