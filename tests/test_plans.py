@@ -133,3 +133,87 @@ def test_manifest_faults():
     for bad in ({"size": None}, {"batchSize": 0}, {"idCount": -1}, {"idCount": True}, {"idCount": 1.5}, {"parts": [{"file": "x"}]}, {"oversizedLeaves": [1]}):
         assert manifest.faults(good | bad)
     assert manifest.faults({k: v for k, v in good.items() if k != "parts"})
+
+
+def test_a_plan_is_told_before_nodes_are_asked_for():
+    serve, seen = fixture_transport(document()), []
+
+    def watched(url, headers, timeout):
+        seen.append("nodes" if "/nodes" in url else "skeleton")
+        return serve(url, headers, timeout)
+
+    job.run_document(Client("", "t", watched), "key", job.Store(), "auto", on_plan=lambda p: seen.append(p.concurrency))
+    assert seen[:2] == ["skeleton", 4] and set(seen[2:]) == {"nodes"}
+
+
+def test_empty_frontiers_are_warned_of():
+    said = []
+    job.run_document(client(), "key", job.Store(), "md", depth=9, log=said.append)
+    assert any("no frontier nodes at depth 9" in s for s in said)
+
+
+def test_streamed_parts_are_the_same_files(tmp_path):
+    text = "é" * 70_000 + "\r\n" + "x" * 70_000
+    for kind in (job.Folder, lambda f: job.SharedStore(f"file://{f}")):
+        for stream in (False, True):
+            store = kind(str(tmp_path / f"{kind is job.Folder}{stream}"))
+            store.put("part-a.json", text, stream)
+            assert (tmp_path / f"{kind is job.Folder}{stream}" / "parts" / "part-a.json").read_bytes() == text.encode()
+    assert [len(s) for s in job.slices(text)] == [65_536, 65_536, 140_002 - 2 * 65_536]
+
+
+def test_runs_of_many_remote_documents_resume(spark, tmp_path):
+    """Documents of a service, asked for by the tasks; a second run asks for skeletons only."""
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def connect(key, raw):
+        serve = fixture_transport(document() | {"name": key})
+
+        def counted(url, headers, timeout):
+            if "/nodes" in url:
+                import uuid
+
+                (calls / uuid.uuid4().hex).touch()
+            return serve(url, headers, timeout)
+
+        return Client("", "t", counted)
+
+    keys = spark.createDataFrame([(f"k{i}",) for i in range(5)], "file_key string").repartition(3)
+    given = {"connect": connect, "store": f"file://{tmp_path}/store", "batch_size": 2, "max_part_bytes": 400}
+    first = {r.file_key: r for r in job.run_documents(keys, "large", **given).collect()}
+    assert len(list(calls.iterdir())) == 10 and len(first) == 5
+    again = {r.file_key: r for r in job.run_documents(keys, "large", **given).collect()}
+    assert len(list(calls.iterdir())) == 10
+    for k, r in again.items():
+        assert json.loads(r.full) == document() | {"name": k} and r.full == first[k].full and r.missing == []
+        assert json.loads(r.manifest)["resumedSkipped"] == 2 and json.loads(first[k].manifest)["resumedSkipped"] == 0
+
+
+def test_group_keys_are_the_same_in_spark(spark):
+    rows = [("sha", "v", "o"), ("sha", None, "o"), ("sha", "v", None)]
+    df = spark.createDataFrame(rows, "sha string, version string, options string")
+    from treeflow.operators import resume
+
+    got = [r.k for r in df.select(resume.content_key("sha", "version", "options").alias("k")).collect()]
+    assert got == [resume.key_of(*r) for r in rows] and len(set(got)) == 3
+
+
+def test_public_names():
+    import treeflow
+
+    assert all(getattr(treeflow, n) is not None for n in treeflow.__all__) and len(treeflow.__all__) > 60
+    with pytest.raises(AttributeError):
+        treeflow.nothing  # noqa: B018
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from treeflow.shared import shared_dir
+
+    bare = lambda master: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: None), sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None))
+    assert shared_dir(bare("local[4]")).startswith("file://")
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            shared_dir(bare(master))

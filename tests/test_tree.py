@@ -190,3 +190,39 @@ def test_random_split_and_join():
         client = Client("", "t", fixture_transport(doc))
         got = job.run_document(client, "k", job.Store(), "md", depth=r.randint(0, 4), batch_size=r.randint(1, 5), max_part_bytes=r.choice([0, 1, 50, 300, 10**6]), max_level=r.randint(0, 6))
         assert got.file["document"] == doc["document"] and not got.missing
+
+
+def test_shallow_parts(spark, nodes):
+    split = nodes.filter("is_object and level <= 1 and children_at is not null").select("file_key", "id")
+    got = {(r.file_key, r.id): r.document for r in budget.shallow_parts(nodes, split).collect()}
+    own = {}
+    for i, d in enumerate(DOCS):
+        for n, level in job.walk(d["document"]):
+            if level <= 1 and isinstance(n.get("children"), list):
+                bare = [{k: v for k, v in c.items() if k != "children"} if isinstance(c, dict) else c for c in n["children"]]
+                own[f"f{i}", n["id"]] = canonical({**n, "children": bare})
+    assert got == own
+
+
+@pytest.mark.parametrize("rows", [0, 1, 5000])
+def test_numbered(spark, rows):
+    values = list(range(rows))
+    random.Random(1).shuffle(values)
+    df = spark.createDataFrame([(v // 3, f"n{v:05d}") for v in values], "a int, b string").repartition(7)
+    got = sorted(((r.a, r.b), r.place) for r in frontier.numbered(df, ["a", "b"]).collect())
+    assert [p for _, p in got] == list(range(1, rows + 1))
+
+
+def test_answers(spark):
+    front = spark.createDataFrame([("f", f"i{k}", k) for k in range(4)], "file_key string, id string, pos long")
+    entries = spark.createDataFrame([("f", "i1", "{}"), ("f", "i3", None), ("g", "i0", "{}")], "file_key string, id string, document string")
+    assert [(r.id, r.there) for r in frontier.with_answers(front, entries).orderBy("pos").collect()] == [("i0", False), ("i1", True), ("i2", False), ("i3", False)]
+    assert [tuple(r) for r in frontier.returned(front, entries).collect()] == [("f", 4, 1)]
+
+
+def test_split_plan_stops_when_nothing_splits(spark):
+    sized = spark.createDataFrame([("f", "a", None, 0, 10, 1), ("f", "b", "a", 1, 9, 0)], "file_key string, id string, parent_id string, level int, bytes long, children int")
+    roots = sized.filter("level = 0").select("file_key", "id")
+    assert {(r.id, r.split) for r in budget.split_plan(sized, roots, 100).collect()} == {("a", False)}
+    assert {(r.id, r.split, r.oversized) for r in budget.split_plan(sized, roots, 5).collect()} == {("a", True, False), ("b", False, True)}
+    assert {r.id for r in budget.split_plan(sized, roots, 5, max_level=0).collect()} == {"a"}

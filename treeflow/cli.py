@@ -14,7 +14,7 @@ from . import __version__, config
 from .errors import RemoteError, UsageError, exit_code_for
 from .functions.canon import canonical
 from .plans import job
-from .plans.sizing import TIERS
+from .plans.sizing import TIERS, Strategy
 from .sources.remote import Client, TokenBucket, fixture_transport, http_transport
 
 USAGE = """treeflow: fetch a document of any size in parts and join them
@@ -113,6 +113,13 @@ class Run:
         told = lambda e: self.log(f"retry {e['attempt']} (status {e['status']}) in {e['waitMs']} ms")
         return Client(args.get("base") or "", token, transport, config.timeout_ms(args, self.env), _optional(args, "retries") if args.get("retries") is not None else 3, bool(args.get("geometry")), args.get("pin"), None, told)
 
+    def planned(self, client: Client):
+        def heard(plan: Strategy) -> None:
+            if client.limiter:  # as many at once as the resolved plan asks for
+                client.limiter.resize(plan.concurrency)
+
+        return heard
+
     def main(self) -> int:
         args = self.args
         if args.get("help") or args.get("h") or args.get("version"):
@@ -137,12 +144,11 @@ class Run:
         given = {k: _optional(args, flag) for k, flag in given.items()}
         rate = _optional(args, "rate") or 0
         if rate > 0:
-            lanes = given["concurrency"] or (job.strategy_for(size).concurrency if size != "auto" else 1)
-            client.limiter = TokenBucket(rate, max(1, int(lanes)))
+            client.limiter = TokenBucket(rate)
         level = _optional(args, "max-rechunk-depth")
         resume = False if args.get("no-resume") else True if args.get("resume") else None
         store = job.Folder(str(folder))
-        result = job.run_document(client, key, store, size, max_level=job.MAX_SPLIT_LEVEL if level is None else level, resume=resume, skeleton_only=bool(args.get("skeleton-only")), log=self.log, **given)
+        result = job.run_document(client, key, store, size, max_level=job.MAX_SPLIT_LEVEL if level is None else level, resume=resume, skeleton_only=bool(args.get("skeleton-only")), log=self.log, on_plan=self.planned(client), **given)
         if result.skeleton is not None:
             (folder / "skeleton.json").write_text(canonical(result.skeleton, True), encoding="utf-8")
         if args.get("skeleton-only") and result.file is None:

@@ -121,16 +121,17 @@ def assets(files: DataFrame, key_col: str = "file_key", json_col: str = "raw") -
     return _mapped(files, key_col, json_col, schema.ASSETS, rows_of)
 
 
-def serialise(nodes: DataFrame, pretty: bool = False) -> DataFrame:
-    """(file_key, document): the tree's canonical text.  A document is one row of output, so
-    its rows meet in one task; documents spread over all tasks."""
+def serialise(nodes: DataFrame, pretty: bool = False, keys=("file_key",)) -> DataFrame:
+    """keys and document: the canonical text of each key's tree.  A tree is one row of output,
+    so its rows meet in one task; trees spread over all tasks."""
     ship(nodes.sparkSession)
 
-    def whole(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def whole(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         rows = zip(pdf["path"], pdf["props"], pdf["children_at"], pdf["is_object"], strict=True)
-        return pd.DataFrame({"file_key": [key[0]], "document": [canonical(tree_of(rows), pretty)]})
+        return pd.DataFrame({**{k: [v] for k, v in zip(keys, key, strict=True)}, "document": [canonical(tree_of(rows), pretty)]})
 
-    return nodes.groupBy("file_key").applyInPandas(whole, "file_key string, document string")
+    kinds = ", ".join(f"{k} {nodes.schema[k].dataType.simpleString()}" for k in keys)
+    return nodes.groupBy(*keys).applyInPandas(whole, f"{kinds}, document string")
 
 
 def edges_from_tables(region: DataFrame, nation: DataFrame, customer: DataFrame, orders: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import batch_sha
+from ..shared import cut
 
 
 def first_of_each(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -37,3 +38,26 @@ def batches(frontier: DataFrame, size) -> DataFrame:
 def batch_count(n_ids, size):
     """ceil(n / size)"""
     return F.ceil(F.col(n_ids) / F.greatest(F.lit(size), F.lit(1))).cast("long")
+
+
+def with_answers(frontier: DataFrame, entries: DataFrame) -> DataFrame:
+    """The requested ids in their order with the entries (file_key, id, document) that came
+    back, and `there`: whether one has a document."""
+    back = entries.select("file_key", "id", "document")
+    return frontier.join(back, ["file_key", "id"], "left").withColumn("there", F.col("document").isNotNull())
+
+
+def returned(frontier: DataFrame, entries: DataFrame) -> DataFrame:
+    """(file_key, requested, returned): ids asked for, and those that came back with a document."""
+    back = entries.filter(F.col("document").isNotNull()).select("file_key", "id").distinct().withColumn("there", F.lit(1))
+    return frontier.join(back, ["file_key", "id"], "left").groupBy("file_key").agg(F.count("*").alias("requested"), F.count("there").alias("returned"))
+
+
+def numbered(df: DataFrame, order: list[str], name: str = "place") -> DataFrame:
+    """df with each row's place in the order, from 1: ranges are sorted side by side, and the
+    rows of the ranges before a row's own (one number for each range) are added to its place."""
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = cut(dealt.withColumn("_range", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    counts = dealt.groupBy("_range").agg(F.count("*").alias("_rows"))
+    before = counts.select("_range", (F.sum("_rows").over(W.orderBy("_range")) - F.col("_rows")).alias("_before"))
+    return dealt.join(F.broadcast(before), "_range").withColumn(name, F.col("_before") + F.col("_at") + 1).drop("_range", "_at", "_before")

@@ -7,13 +7,14 @@ import json
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions.canon import canonical
 from ..shared import cut
 from ..ship import ship
-from .flatten import ASSET_KINDS, node_rows, tree_of
+from .flatten import ASSET_KINDS, node_rows
 
 MAX_LEVELS = 200
 
@@ -68,9 +69,12 @@ def missing_ids(frontier: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def missing_preview(missing: DataFrame, n: int = 5) -> DataFrame:
-    """(file_key, n_missing, preview): how many, and the first n in order."""
-    first = F.slice(F.array_sort(F.collect_list(F.struct("pos", "id"))), 1, n)
-    return missing.groupBy("file_key").agg(F.count("*").alias("n_missing"), F.transform(first, lambda x: x["id"]).alias("preview"))
+    """(file_key, n_missing, preview): how many, and the first n in order.
+
+    Tasks keep their first n of each file before the shuffle, so no list of all is gathered."""
+    first = missing.withColumn("nth", F.row_number().over(W.partitionBy("file_key").orderBy("pos", "id"))).filter(F.col("nth") <= n)
+    first = first.groupBy("file_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "id"))), lambda x: x["id"]).alias("preview"))
+    return missing.groupBy("file_key").agg(F.count("*").alias("n_missing")).join(first, "file_key")
 
 
 def entry_nodes(index: DataFrame) -> DataFrame:
@@ -189,4 +193,4 @@ def reconstruct(skeletons: DataFrame, parts: DataFrame, frontier: DataFrame | No
     return rows.mapInPandas(run, "file_key string, full string, grafted long, missing array<string>")
 
 
-__all__ = ["entry_nodes", "graft", "graft_tree", "index_parts", "last_wins", "merge_assets", "missing_ids", "missing_preview", "part_entries", "reconstruct", "tree_of"]
+__all__ = ["entry_nodes", "graft", "graft_tree", "index_parts", "last_wins", "merge_assets", "missing_ids", "missing_preview", "part_entries", "reconstruct"]

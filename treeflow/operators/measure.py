@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import cut
+
 
 def skeleton(nodes: DataFrame, depth: int) -> DataFrame:
     """Nodes down to a level; those at it have no children list any more."""
-    cut = F.col("level") == depth
-    return nodes.filter(F.col("level") <= depth).withColumn("children_at", F.when(~cut, F.col("children_at")))
+    return nodes.filter(F.col("level") <= depth).withColumn("children_at", F.when(F.col("level") != depth, F.col("children_at")))
 
 
 def find_node(nodes: DataFrame, node_id: str) -> DataFrame:
@@ -45,14 +46,15 @@ def subtree_sizes(nodes: DataFrame) -> DataFrame:
 
 def rolled_up(edges: DataFrame, deepest: int) -> DataFrame:
     """(id, parent_id, level, bytes, descendants) of an edge list with levels: sums go up one
-    level at a time, so work is one row for each edge, whatever the depth."""
+    level at a time, so work is one row for each edge, whatever the depth.  Each level but the
+    deepest is stored once, and the next one reads it."""
     rest = edges.select("id", "parent_id", "level", "own_bytes")
     carried = rest.filter(F.col("level") == deepest).select("id", "parent_id", "level", F.col("own_bytes").alias("bytes"), F.lit(0).cast("long").alias("descendants"))
     out = carried
     for level in range(deepest - 1, -1, -1):
         sums = carried.groupBy(F.col("parent_id").alias("id")).agg(F.sum("bytes").alias("b"), F.sum(F.col("descendants") + 1).alias("d"))
         here = rest.filter(F.col("level") == level).join(sums, "id", "left")
-        carried = here.select("id", "parent_id", "level", (F.col("own_bytes") + F.coalesce("b", F.lit(0))).alias("bytes"), F.coalesce("d", F.lit(0)).alias("descendants"))
+        carried = cut(here.select("id", "parent_id", "level", (F.col("own_bytes") + F.coalesce("b", F.lit(0))).alias("bytes"), F.coalesce("d", F.lit(0)).alias("descendants")))
         out = out.unionByName(carried)
     return out
 
@@ -60,8 +62,7 @@ def rolled_up(edges: DataFrame, deepest: int) -> DataFrame:
 def signals(nodes: DataFrame, depth: int, envelope_bytes: DataFrame | None = None) -> DataFrame:
     """(file_key, n_nodes, frontier_width, skeleton_bytes) of the skeletons down to `depth`;
     envelope_bytes (file_key, envelope_bytes) adds what surrounds the trees."""
-    cut = own_bytes(skeleton(nodes, depth))
-    out = cut.groupBy("file_key").agg(
+    out = own_bytes(skeleton(nodes, depth)).groupBy("file_key").agg(
         F.count_if("is_object").alias("n_nodes"),
         F.count_distinct(F.when((F.col("level") == depth) & F.col("is_object") & (F.col("id") != ""), F.col("id"))).alias("frontier_width"),
         F.sum("own_bytes").alias("skeleton_bytes"),

@@ -6,13 +6,22 @@ content (version, geometry, depth): stale groups do not match.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+KEY_CHARS = 12
+
 
 def content_key(sha, version, options) -> Column:
     """Digest over ids' digest, document version and request options."""
-    return F.left(F.sha2(F.concat_ws("|", F.col(sha), F.coalesce(F.col(version), F.lit("")), F.coalesce(F.col(options), F.lit(""))), 256), F.lit(12))
+    return F.left(F.sha2(F.concat_ws("|", F.col(sha), F.coalesce(F.col(version), F.lit("")), F.coalesce(F.col(options), F.lit(""))), 256), F.lit(KEY_CHARS))
+
+
+def key_of(sha: str, version: str | None, options: str | None) -> str:
+    """content_key of one group."""
+    return hashlib.sha256("|".join((sha, version or "", options or "")).encode()).hexdigest()[:KEY_CHARS]
 
 
 def complete_groups(groups: DataFrame, present: DataFrame, keys=("file_key", "sha")) -> DataFrame:

@@ -14,10 +14,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .functions import canon, scalars
-from .operators import budget, frontier, graft, measure, resume
+from .operators import budget, flatten, frontier, graft, measure, resume
 from .operators.flatten import edges_from_tables
 from .plans import job, manifest, sizing
+from .shared import new_folder
 from .ship import ship
+from .sources import workdir
 from .streaming.limiter import replay
 
 SPECS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -49,27 +51,55 @@ _SIZES = """anc AS (SELECT id AS root, id, own_bytes FROM n UNION ALL SELECT a.r
 sz AS (SELECT root AS id, sum(own_bytes)::BIGINT AS bytes, (count(*) - 1)::BIGINT AS descendants FROM anc GROUP BY root)"""
 
 
-# --- sources, projections, filters -------------------------------------------------------
-
-
-@query(f"WITH {_TREE} SELECT id, level FROM n WHERE level <= 2")
-def skeleton_truncate(spark, sf_dir):
-    """Skeleton down to a level: a filter that reaches the union's branches."""
-    return tree(spark, sf_dir).filter("level <= 2").select("id", "level")
+def conversation_files(spark, sf_dir) -> DataFrame:
+    """Conversations as documents: a page each role, a frame each turn."""
+    c = table(spark, sf_dir, "conversations")
+    frame = F.struct(F.concat_ws(":", F.lit("2"), "conv_id", "turn").alias("id"), F.lit("FRAME").alias("type"), F.array(F.struct(F.concat_ws(":", F.lit("3"), "conv_id", "turn").alias("id"), F.col("text").alias("text"))).alias("children"))
+    pages = c.groupBy("conv_id", "role").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", frame.alias("f")))), lambda x: x["f"]).alias("children"))
+    page = F.struct(F.concat_ws(":", F.lit("1"), "conv_id", "role").alias("id"), F.lit("CANVAS").alias("type"), F.col("children"))
+    files = pages.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("role", page.alias("p")))), lambda x: x["p"]).alias("children"))
+    doc = F.struct(F.lit("doc").alias("name"), F.lit("1").alias("version"), F.struct(F.lit("0:0").alias("id"), F.lit("DOCUMENT").alias("type"), F.col("children")).alias("document"))
+    return files.select(F.col("conv_id").cast("string").alias("file_key"), F.to_json(doc).alias("raw"))
 
 
-@query(f"WITH {_TREE} SELECT id, parent_id, own_bytes FROM n WHERE id = '3:7'")
-def find_node(spark, sf_dir):
-    return tree(spark, sf_dir).filter("id = '3:7'").select("id", "parent_id", "own_bytes")
+#: the same documents in SQL: texts of leaves, frames, pages and roots, and all nodes
+_DOCS = """c AS (SELECT conv_id::VARCHAR AS file_key, role, turn, text FROM conversations),
+f AS (SELECT *, '{"id":"3:' || file_key || ':' || turn || '"' || CASE WHEN text IS NULL THEN '' ELSE ',"text":' || to_json(text) END || '}' AS leaf,
+  row_number() OVER (PARTITION BY file_key, role ORDER BY turn) - 1 AS ord FROM c),
+fr AS (SELECT *, '{"id":"2:' || file_key || ':' || turn || '","type":"FRAME","children":[' || leaf || ']}' AS frame FROM f),
+p AS (SELECT file_key, role, count(*) AS kids, '{"id":"1:' || file_key || ':' || role || '","type":"CANVAS","children":[' || string_agg(frame, ',' ORDER BY turn) || ']}' AS page,
+  row_number() OVER (PARTITION BY file_key ORDER BY role) - 1 AS ord FROM fr GROUP BY file_key, role),
+r AS (SELECT file_key, count(*) AS kids, sum(kids)::BIGINT AS frames, '{"id":"0:0","type":"DOCUMENT","children":[' || string_agg(page, ',' ORDER BY role) || ']}' AS root FROM p GROUP BY file_key),
+nodes AS (
+  SELECT file_key, '0:0' AS id, NULL AS parent_id, 0 AS level, 0 AS ord, 'DOCUMENT' AS type, root AS text, 1::BIGINT * kids AS kids, kids + 2 * frames AS descendants FROM r
+  UNION ALL SELECT file_key, '1:' || file_key || ':' || role, '0:0', 1, ord, 'CANVAS', page, kids, 2 * kids FROM p
+  UNION ALL SELECT file_key, '2:' || file_key || ':' || turn, '1:' || file_key || ':' || role, 2, ord, 'FRAME', frame, 1, 1 FROM fr
+  UNION ALL SELECT file_key, '3:' || file_key || ':' || turn, '2:' || file_key || ':' || turn, 3, 0, NULL, leaf, 0, 0 FROM fr),
+whole AS (SELECT file_key, '{"name":"doc","version":"1","document":' || root || ',"components":{},"componentSets":{},"styles":{}}' AS full_text FROM r)"""
+
+
+def conversation_nodes(spark, sf_dir) -> DataFrame:
+    return flatten.flatten(conversation_files(spark, sf_dir))
+
+
+def conversation_parts(spark, sf_dir) -> DataFrame:
+    """Parts of these documents: a shallow one of each page, a whole one of each frame, and an
+    older one of each frame, which the newer one, later by name, replaces."""
+    nodes = conversation_nodes(spark, sf_dir)
+    shallow = budget.shallow_parts(nodes, nodes.filter("level = 1").select("file_key", "id"))
+    shallow = shallow.select("file_key", F.concat(F.lit("part-a-"), "id").alias("file"), "id", "document", F.lit("{}").alias("components"))
+    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("file_key"), F.concat_ws(":", F.lit("2"), "conv_id", "turn").alias("id"), "role", "turn", "text")
+    leaf = lambda text: F.array(F.struct(F.regexp_replace("id", "^2", "3").alias("id"), text.alias("text")))
+    frame = lambda text: F.to_json(F.struct("id", F.lit("FRAME").alias("type"), leaf(text).alias("children")))
+    maps = F.to_json(F.map_from_arrays(F.array("role"), F.array("turn")))
+    frames = [c.select("file_key", F.concat(F.lit(f"part-{k}-"), F.lpad(F.col("turn").cast("string"), 9, "0")).alias("file"), "id", frame(text).alias("document"), maps.alias("components")) for k, text in (("b", F.lit("old")), ("c", F.col("text")))]
+    every = shallow.unionByName(frames[0]).unionByName(frames[1])
+    entry = F.concat(F.lit('{"nodes":{'), F.to_json(F.struct("id")).substr(7, 1 << 20))
+    payload = F.concat(F.expr("left(e, length(e) - 1)"), F.lit(':{"document":'), "document", F.lit(',"components":'), "components", F.lit("}}}"))
+    return every.withColumn("e", entry).select("file_key", "file", payload.alias("payload"))
 
 
-@query("""SELECT c.c_custkey, 'Customer' AS kind, list_sort(list(o.o_orderkey)) AS children
-FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey WHERE c.c_custkey <= 50 GROUP BY c.c_custkey""")
-def shallow_parent(spark, sf_dir):
-    """A parent with its children's own keys only."""
-    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
-    few = c.filter("c_custkey <= 50").select("c_custkey")
-    return o.join(few, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_custkey").agg(F.array_sort(F.collect_list("o_orderkey")).alias("children")).select("c_custkey", F.lit("Customer").alias("kind"), "children")
+# --- sources, projections, filters -------------------------------------------------------
 
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
@@ -136,13 +166,23 @@ def strategy_join(spark, sf_dir):
     return sizing.with_strategy(t, depth=3, max_part_bytes=1000).select("conv_id", "tier", "mode", "depth", "batch_size", "concurrency", "rechunk", F.col("max_part_bytes").cast("long").alias("max_part_bytes"))
 
 
-@query("""WITH f AS (SELECT c_nationkey, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS pos FROM customer)
-SELECT c_nationkey, c_custkey, pos, o_orderkey FROM f JOIN orders ON o_custkey = c_custkey WHERE o_orderstatus = 'P'""")
+@query("""WITH f AS (SELECT c_nationkey::VARCHAR AS file_key, c_custkey::VARCHAR AS id, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS pos FROM customer)
+SELECT file_key, id, pos, o_orderkey::VARCHAR AS document, o_orderkey IS NOT NULL AS there FROM f LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') ON o_custkey::VARCHAR = id""")
 def batch_response_join(spark, sf_dir):
     """Requested ids joined with what came back, keeping the requested order."""
-    f = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", (F.row_number().over(W.partitionBy("c_nationkey").orderBy("c_custkey")) - 1).cast("long").alias("pos"))
-    o = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select("o_custkey", "o_orderkey")
-    return f.join(o, F.col("o_custkey") == F.col("c_custkey")).select("c_nationkey", "c_custkey", "pos", "o_orderkey")
+    return frontier.with_answers(*_asked(spark, sf_dir)).select("file_key", "id", "pos", "document", "there")
+
+
+def _asked(spark, sf_dir):
+    f = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("file_key"), F.col("c_custkey").cast("string").alias("id"), (F.row_number().over(W.partitionBy("c_nationkey").orderBy("c_custkey")) - 1).cast("long").alias("pos"))
+    o = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").cast("string").alias("id"), F.col("o_orderkey").cast("string").alias("document"))
+    return f, o.join(f.select("file_key", "id"), "id")
+
+
+@query("""SELECT c_nationkey::VARCHAR AS file_key, count(*) AS requested, count(o) AS returned FROM customer
+LEFT JOIN (SELECT DISTINCT o_custkey AS o FROM orders WHERE o_orderstatus = 'P') ON o = c_custkey GROUP BY c_nationkey""")
+def returned_ratio(spark, sf_dir):
+    return frontier.returned(*_asked(spark, sf_dir))
 
 
 @query("""SELECT 'f' || n_nationkey AS "fileKey", 'idCount' AS "column" FROM nation WHERE n_nationkey % 4 = 0
@@ -182,26 +222,11 @@ def classify_tier(spark, sf_dir):
     return v.withColumn("tier", sizing.classify())
 
 
-@query("SELECT c_nationkey, count(DISTINCT c_mktsegment) AS width FROM customer GROUP BY c_nationkey")
-def frontier_width(spark, sf_dir):
-    return table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count_distinct("c_mktsegment").alias("width"))
-
-
 @query("SELECT user_id, arg_max(value, struct_pack(t := ts, e := event_id)) AS value FROM events GROUP BY user_id")
 def last_wins_merge(spark, sf_dir):
     return graft.last_wins(table(spark, sf_dir, "events"), ["user_id"], "value", ["ts", "event_id"])
 
 
-@query("""WITH r AS (SELECT user_id AS file_key, event_type AS key, event_id::VARCHAR AS value, event_id FROM events)
-SELECT file_key, string_agg(key || '=' || value, ',' ORDER BY key) AS merged FROM
-(SELECT file_key, key, arg_max(value, event_id) AS value FROM r GROUP BY file_key, key) GROUP BY file_key""")
-def map_merge(spark, sf_dir):
-    """Union of maps, the later entry of a key winning."""
-    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("file_key"), F.col("event_type").alias("key"), F.col("event_id").cast("string").alias("value"), "event_id")
-    won = graft.last_wins(e, ["file_key", "key"], "value", ["event_id"])
-    return won.groupBy("file_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("key", "value"))), lambda x: F.concat_ws("=", x["key"], x["value"])), ",").alias("merged"))
-
-
 @query("""WITH p AS (SELECT l_orderkey AS sha, 'part-' || l_partkey || '.json' AS file, bool_and(l_returnflag <> 'R') AS fresh FROM lineitem GROUP BY l_orderkey, l_partkey),
 g AS (SELECT o_custkey AS file_key, count(*) AS "batchCount", count(*) FILTER (o_orderstatus = 'F') AS "resumedSkipped", sum(o_orderkey % 3)::BIGINT AS rechunked FROM orders GROUP BY o_custkey),
 q AS (SELECT o_custkey AS file_key, count(*) FILTER (fresh) AS downloaded FROM (SELECT o_custkey, file, arg_min(fresh, sha) AS fresh FROM p JOIN orders ON o_orderkey = sha GROUP BY o_custkey, file) GROUP BY o_custkey)
@@ -214,18 +239,6 @@ def run_counters(spark, sf_dir):
     return manifest.counters(o, parts).select("file_key", "batchCount", "resumedSkipped", "rechunked", "downloaded")
 
 
-@query("SELECT doc_id, strlen(text) AS bytes FROM documents WHERE strlen(text) > 20000")
-def oversized_leaves(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", scalars.byte_length("text").alias("bytes")).filter("bytes > 20000")
-
-
-@query("""SELECT c_nationkey, count(*) AS requested, count(o) AS returned FROM customer
-LEFT JOIN (SELECT DISTINCT o_custkey AS o FROM orders WHERE o_orderstatus = 'P') ON o = c_custkey GROUP BY c_nationkey""")
-def returned_ratio(spark, sf_dir):
-    got = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select("o_custkey").distinct()
-    return table(spark, sf_dir, "customer").join(got, F.col("o_custkey") == F.col("c_custkey"), "left").groupBy("c_nationkey").agg(F.count("*").alias("requested"), F.count("o_custkey").alias("returned"))
-
-
 # --- windows, order, sets -----------------------------------------------------------------------
 
 
@@ -259,9 +272,8 @@ UNION ALL SELECT 'part-r' || r_regionkey || '.json', r_regionkey, -1 FROM region
 def part_order_union(spark, sf_dir):
     """Parts listed by name, and a union of part sets."""
     n = table(spark, sf_dir, "nation").select(F.concat(F.lit("part-"), "n_nationkey", F.lit(".json")).alias("file"), F.col("n_nationkey").alias("bytes"))
-    listed = n.groupBy().agg(F.array_sort(F.collect_list(F.struct("file", "bytes"))).alias("p")).select(F.posexplode("p").alias("i", "x")).select("x.file", "x.bytes", (F.col("i") + 1).cast("long").alias("place"))
     r = table(spark, sf_dir, "region").select(F.concat(F.lit("part-r"), "r_regionkey", F.lit(".json")).alias("file"), F.col("r_regionkey").alias("bytes"), F.lit(-1).cast("long").alias("place"))
-    return listed.unionByName(r)
+    return frontier.numbered(n, ["file"]).unionByName(r)
 
 
 # --- tree ---------------------------------------------------------------------------------------
@@ -383,34 +395,145 @@ def percent_encode(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", canon.percent_encoded("url").alias("encoded"))
 
 
-# --- stateful and whole runs ----------------------------------------------------------------------
+# --- documents as trees --------------------------------------------------------------------------
 
 
-@query()
-def token_bucket(spark, sf_dir):
-    """Events each user's bucket admits: an ordered fold, which SQL cannot express."""
-    return replay(table(spark, sf_dir, "events"), "user_id", "ts", "event_id", 0.00001, 3)
+@query(f"WITH {_DOCS} SELECT file_key, id, parent_id, level, ord::INT AS ord, type FROM nodes")
+def flatten_nodes(spark, sf_dir):
+    """JSON documents as node tables."""
+    return conversation_nodes(spark, sf_dir).select("file_key", "id", "parent_id", "level", "ord", "type")
 
 
-def conversation_files(spark, sf_dir) -> DataFrame:
-    """Conversations as documents: a page each role, a frame each turn."""
-    c = table(spark, sf_dir, "conversations")
-    frame = F.struct(F.concat_ws(":", F.lit("2"), "conv_id", "turn").alias("id"), F.lit("FRAME").alias("type"), F.array(F.struct(F.concat_ws(":", F.lit("3"), "conv_id", "turn").alias("id"), F.col("text").alias("text"))).alias("children"))
-    pages = c.groupBy("conv_id", "role").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", frame.alias("f")))), lambda x: x["f"]).alias("children"))
-    page = F.struct(F.concat_ws(":", F.lit("1"), "conv_id", "role").alias("id"), F.lit("CANVAS").alias("type"), F.col("children"))
-    files = pages.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("role", page.alias("p")))), lambda x: x["p"]).alias("children"))
-    doc = F.struct(F.lit("doc").alias("name"), F.lit("1").alias("version"), F.struct(F.lit("0:0").alias("id"), F.lit("DOCUMENT").alias("type"), F.col("children")).alias("document"))
-    return files.select(F.col("conv_id").cast("string").alias("file_key"), F.to_json(doc).alias("raw"))
+@query(f"WITH {_DOCS} SELECT file_key, sha256(root) AS sha FROM r")
+def serialise_documents(spark, sf_dir):
+    """Node tables as JSON text again, byte for byte."""
+    return flatten.serialise(conversation_nodes(spark, sf_dir)).select("file_key", F.sha2("document", 256).alias("sha"))
+
+
+@query(f"WITH {_DOCS} SELECT file_key, id, level, level < 2 AS has_children FROM nodes WHERE level <= 2")
+def skeleton_truncate(spark, sf_dir):
+    """Skeletons down to a level."""
+    return measure.skeleton(conversation_nodes(spark, sf_dir), 2).select("file_key", "id", "level", F.col("children_at").isNotNull().alias("has_children"))
+
+
+@query(f"WITH {_DOCS} SELECT file_key, id, parent_id, level FROM nodes WHERE id = '2:7:1'")
+def find_node(spark, sf_dir):
+    return measure.find_node(conversation_nodes(spark, sf_dir), "2:7:1").select("file_key", "id", "parent_id", "level")
+
+
+@query(f"WITH {_DOCS} SELECT file_key, count(*) AS n_nodes FROM nodes GROUP BY file_key")
+def count_nodes(spark, sf_dir):
+    return measure.count_nodes(conversation_nodes(spark, sf_dir))
+
+
+@query(f"""WITH {_DOCS} SELECT file_key, count(*) AS n_nodes, count(DISTINCT CASE WHEN level = 2 THEN id END) AS frontier_width,
+ sum(strlen(CASE level WHEN 0 THEN '{{"id":"0:0","type":"DOCUMENT","children":[]}}' WHEN 1 THEN '{{"id":"' || id || '","type":"CANVAS","children":[]}}' ELSE '{{"id":"' || id || '","type":"FRAME"}}' END) + (ord > 0)::INT)::BIGINT AS skeleton_bytes
+FROM nodes WHERE level <= 2 GROUP BY file_key""")
+def frontier_width(spark, sf_dir):
+    """The three sizes of skeletons that choose a tier."""
+    return measure.signals(conversation_nodes(spark, sf_dir), 2)
+
+
+@query(f"WITH {_DOCS} SELECT file_key, id, strlen(text) AS bytes, descendants, kids AS children FROM nodes")
+def document_subtree_sizes(spark, sf_dir):
+    return measure.subtree_sizes(conversation_nodes(spark, sf_dir)).select("file_key", "id", "bytes", "descendants", "children")
+
+
+@query(f"WITH {_DOCS} SELECT file_key, id, row_number() OVER (PARTITION BY file_key ORDER BY role, turn) - 1 AS pos FROM (SELECT file_key, role, turn, '2:' || file_key || ':' || turn AS id FROM fr)")
+def document_frontier(spark, sf_dir):
+    return frontier.collect_frontier(conversation_nodes(spark, sf_dir), 2)
+
+
+@query(f"WITH {_DOCS} SELECT file_key, list(id ORDER BY id) AS \"oversizedLeaves\" FROM nodes WHERE level = 3 AND strlen(text) > 300 GROUP BY file_key")
+def oversized_leaves(spark, sf_dir):
+    """Leaves over the budget that splitting comes down to."""
+    sized = measure.subtree_sizes(conversation_nodes(spark, sf_dir))
+    plan = budget.split_plan(sized, sized.filter("level = 1").select("file_key", "id"), 300)
+    return budget.oversized_leaves(plan, ["level", "id"])
+
+
+@query(f"""WITH {_DOCS} SELECT file_key, '1:' || file_key || ':' || role AS id,
+ sha256('{{"id":"1:' || file_key || ':' || role || '","type":"CANVAS","children":[' || string_agg('{{"id":"2:' || file_key || ':' || turn || '","type":"FRAME"}}', ',' ORDER BY turn) || ']}}') AS sha FROM fr GROUP BY file_key, role""")
+def shallow_parent(spark, sf_dir):
+    """Parents with their children's own keys only."""
+    nodes = conversation_nodes(spark, sf_dir)
+    return budget.shallow_parts(nodes, nodes.filter("level = 1").select("file_key", "id")).select("file_key", "id", F.sha2("document", 256).alias("sha"))
+
+
+@query(f"""WITH {_DOCS} SELECT file_key, id, sha256(CASE level WHEN 2 THEN text ELSE
+ '{{"id":"' || id || '","type":"CANVAS","children":[' || (SELECT string_agg('{{"id":"2:' || x.file_key || ':' || turn || '","type":"FRAME"}}', ',' ORDER BY turn) FROM fr x WHERE '1:' || x.file_key || ':' || x.role = nodes.id) || ']}}' END) AS sha FROM nodes WHERE level IN (1, 2)""")
+def index_parts(spark, sf_dir):
+    """Nodes by id from all parts; the last part wins."""
+    return graft.index_parts(graft.part_entries(conversation_parts(spark, sf_dir))).select("file_key", "id", F.sha2("document", 256).alias("sha"))
+
+
+@query("SELECT conv_id::VARCHAR AS file_key, 'components' AS kind, role AS key, max(turn)::VARCHAR AS value FROM conversations GROUP BY conv_id, role")
+def map_merge(spark, sf_dir):
+    """Union of the parts' maps, the later entry of a key winning."""
+    return graft.merge_assets(graft.part_entries(conversation_parts(spark, sf_dir)))
+
+
+def _grafted(spark, sf_dir):
+    skeleton = measure.skeleton(conversation_nodes(spark, sf_dir), 1)
+    return graft.graft(skeleton, graft.index_parts(graft.part_entries(conversation_parts(spark, sf_dir))))
+
+
+@query(f"WITH {_DOCS} SELECT file_key, id, parent_id, level, ord::INT AS ord, type FROM nodes")
+def graft_documents(spark, sf_dir):
+    """Skeletons of two levels with shallow pages put in, and frames into those."""
+    return _grafted(spark, sf_dir)[0].select("file_key", "id", "parent_id", "level", "ord", "type")
+
+
+@query(f"WITH {_DOCS} SELECT file_key, kids + frames AS grafted FROM r")
+def graft_counts(spark, sf_dir):
+    return _grafted(spark, sf_dir)[1]
+
+
+@query(f"WITH {_DOCS} SELECT file_key, sha256(root) AS sha, kids + frames AS grafted, 0 AS n_missing FROM r")
+def reconstruct_documents(spark, sf_dir):
+    """Whole documents from skeletons and parts."""
+    nodes = conversation_nodes(spark, sf_dir)
+    skeletons = flatten.serialise(measure.skeleton(nodes, 1)).select("file_key", F.concat(F.lit('{"document":'), "document", F.lit("}")).alias("raw"))
+    out = graft.reconstruct(skeletons, conversation_parts(spark, sf_dir), frontier.collect_frontier(nodes, 2))
+    # the tree is what stands before the maps that the parts bring
+    tree = F.regexp_extract("full", r'(?s)^\{"document":(.*),"components":\{[^{}]*\},"componentSets":\{\},"styles":\{\}\}$', 1)
+    return out.select("file_key", F.sha2(tree, 256).alias("sha"), "grafted", F.size("missing").alias("n_missing"))
+
+
+# --- stateful and whole runs ---------------------------------------------------------------------
+
+
+@query("""WITH RECURSIVE e AS (SELECT user_id, event_id, epoch_us(ts) / 1000000.0::DOUBLE AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+b AS (SELECT user_id, event_id, n, t, 3.0::DOUBLE AS tokens FROM e WHERE n = 1
+  UNION ALL SELECT e.user_id, e.event_id, e.n, greatest(e.t, b.t), least(3.0::DOUBLE, b.tokens - (b.tokens >= 1)::INT + greatest(0.0::DOUBLE, e.t - b.t) * 0.00001::DOUBLE) FROM b JOIN e ON e.user_id = b.user_id AND e.n = b.n + 1)
+SELECT user_id, event_id, tokens >= 1 AS admitted FROM b""")
+def token_bucket(spark, sf_dir):
+    """Events each user's bucket admits: an ordered fold."""
+    return replay(table(spark, sf_dir, "events"), "user_id", "ts", "event_id", 0.00001, 3)
 
 
-@query("""SELECT conv_id::VARCHAR AS file_key, count(*) AS "idCount", ceil(count(*) / 3)::BIGINT AS "batchCount", count(*) AS grafted, true AS same FROM conversations GROUP BY conv_id""")
+@query(f"""WITH {_DOCS} SELECT file_key, frames AS "idCount", ceil(frames / 3)::BIGINT AS "batchCount", sha256(full_text) AS sha, 0 AS n_missing,
+ (SELECT list_sort(list(id)) FROM nodes n WHERE n.file_key = r.file_key AND level = 3 AND strlen(text) > 300) AS oversized FROM r JOIN whole USING (file_key)""")
 def run_documents(spark, sf_dir):
-    """Whole runs over many documents: each joined result has the nodes it started from."""
-    files = conversation_files(spark, sf_dir)
-    out = job.run_documents(files, "md", batch_size=3, max_part_bytes=0)
-    m = F.from_json("manifest", "idCount long, batchCount long")
-    same = F.col("full").contains(F.get_json_object("raw", "$.document.children[0].children[0].id"))
-    return out.join(files, "file_key").select("file_key", m["idCount"].alias("idCount"), m["batchCount"].alias("batchCount"), "grafted", same.alias("same"))
+    """Whole runs over many documents under a budget that splits batches and frames: every
+    joined result is the document that it started from."""
+    out = job.run_documents(conversation_files(spark, sf_dir), "md", batch_size=3, max_part_bytes=300)
+    m = F.from_json("manifest", "idCount long, batchCount long, oversizedLeaves array<string>")
+    leaves = F.array_sort(m["oversizedLeaves"])
+    return out.select("file_key", m["idCount"].alias("idCount"), m["batchCount"].alias("batchCount"), F.sha2("full", 256).alias("sha"), F.size("missing").alias("n_missing"), F.when(F.size(leaves) > 0, leaves).alias("oversized"))
+
+
+@query(f"""WITH {_DOCS}, s AS (SELECT file_key, role, turn, strlen(frame) AS fb, strlen(leaf) AS lb FROM fr)
+SELECT file_key, count(*) AS n_parts FROM (SELECT file_key, '1' FROM p UNION ALL SELECT file_key, '2' FROM fr JOIN p USING (file_key, role) WHERE strlen(page) > 200 UNION ALL SELECT file_key, '3' FROM s WHERE fb > 200) GROUP BY file_key""")
+def stored_parts(spark, sf_dir):
+    """Parts under a budget written to a folder and read back: a shallow one of every page, and
+    frames with their leaves where they exceed it."""
+    sized = measure.subtree_sizes(conversation_nodes(spark, sf_dir))
+    roots = sized.filter("level = 1").select("file_key", "id")
+    plan = budget.split_plan(sized, roots, 200)
+    folder = new_folder(spark, "parts")
+    workdir.write_parts(plan.select("file_key", "sha", "id", F.to_json(F.struct("id", "bytes")).alias("payload")), folder)
+    return workdir.read_written_parts(spark, folder).groupBy("file_key").agg(F.count("*").alias("n_parts"))
 
 
 QUERIES = {name: f for name, (f, _) in SPECS.items()}

@@ -38,7 +38,8 @@ def write_parts(parts: DataFrame, folder: str) -> None:
 
 
 def read_written_parts(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.text(folder).select("file_key", "sha", F.concat(F.lit("part-"), "sha", F.lit(".json")).alias("file"), F.col("value").alias("payload"))
+    # keys are text, whatever they look like
+    return spark.read.schema("value string, file_key string, sha string").text(folder).select("file_key", "sha", F.concat(F.lit("part-"), "sha", F.lit(".json")).alias("file"), F.col("value").alias("payload"))
 
 
 def write_documents(full: DataFrame, folder: str) -> DataFrame:
