@@ -134,7 +134,9 @@ def test_a_task_opens_few_files(spark, monkeypatch):
         own = table.filter(pa.compute.equal(table["range"], k)).combine_chunks().to_batches()
         opened.clear()
         n += sum(len(b) for b in token_store._payload(uri, store, 0)(own))
-        assert len({f for f in opened if f.endswith(".bin")}) <= 2 and len(opened) <= 4
+        first = np.cumsum([0, *store["records"]])
+        mine = [s for s in range(8) if first[s] < (k + 1) * 500 and first[s + 1] > k * 500]
+        assert sorted(opened) == sorted(f"ids/{s:05d}.{kind}" for s in mine for kind in ("bin", "off"))
     assert n == 4000
 
 
