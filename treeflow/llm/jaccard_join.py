@@ -642,7 +642,8 @@ def jaccard_components(
 
     placed = own.filter("key is not null").join(comps, "key", "left").select("id", "size", F.coalesce("comp", "key").alias("c"))
     placed = cut(placed)
-    least = placed.groupBy("c").agg(F.min("id").alias("component_id"))
+    # stored, so that both sides of the join are dealt anew and a large component can be split
+    least = cut(placed.groupBy("c").agg(F.min("id").alias("component_id")))
     alone = own.filter("key is null").select("id", "size", F.col("id").alias("component_id"))
     out = placed.join(least, "c").select("id", "size", "component_id").unionByName(alone)
     return out.select(F.col("id").alias(id_col), F.col("size").cast("long").alias("n_shingles"), "component_id")
