@@ -19,6 +19,13 @@ def fields(df: DataFrame, columns: list[str], more: str) -> T.StructType:
     return T.StructType([*(df.schema[c] for c in columns), *T._parse_datatype_string(more).fields])
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df, written as Parquet to the shared folder and read back: a checkpoint that is packed."""
+    folder = new_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
 

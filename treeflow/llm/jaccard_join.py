@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from . import _text as T
 from ._components import components
-from ._spark import cut, ship, shuffle_partitions, with_places
+from ._spark import cut, ship, shuffle_partitions, stored, with_places
 
 N, NUMER, DENOM = 5, 4, 5  # words of a shingle; threshold 4/5
 COMMON, COMMON_CELLS = 16, 8_000_000
@@ -275,12 +275,12 @@ def _led(listed: DataFrame, numer, denom, split_level: int) -> DataFrame:
         dealt = rows.repartition(shuffle_partitions(rows.sparkSession), *by).sortWithinPartitions("gram", "salt", "place", "key")
         return dealt.select("gram", "salt", "place", "key").mapInArrow(_shared(numer, denom), schema)
 
-    first = cut(run(listed, "gram", "salt"))
+    first = stored(run(listed, "gram", "salt"), "lists")
     tops = (F.col("salt") >= 0) & F.col("leader").isNull()
     again = first.filter(tops).select("gram", F.lit(-1).alias("salt"), (F.shiftleft(F.col("size").cast("long"), 32) + F.col("pos")).alias("place"), "key")
     if again.isEmpty():
         return first.drop("salt")
-    return cut(first.filter(~tops).unionByName(run(again, "gram"))).drop("salt")
+    return first.filter(~tops).unionByName(stored(run(again, "gram"), "lists")).drop("salt")
 
 
 # --- comparing full sets ----------------------------------------------------------------
@@ -325,7 +325,7 @@ def _stored_sets(texts: DataFrame, wanted: DataFrame, text_col: str, n: int, rou
         sets = texts.mapInArrow(_keep(text_col, n, keys), "key long, members binary")
     else:
         sets = texts.mapInArrow(_keep(text_col, n, None), "key long, members binary").join(wanted, "key", "left_semi")
-    return cut(sets)
+    return stored(sets, "sets")
 
 
 def _send(route_of):
@@ -503,7 +503,7 @@ def _between(entries: DataFrame, labels: DataFrame, cells: DataFrame, numer, den
     mixed = mixed.select("gram", (F.col("n") >= long_list).alias("is_long"), F.col("top.comp").alias("most"), F.ceil(F.col("top.n") / chunk).cast("int").alias("tops"), F.ceil((F.col("n") - F.col("top.n")) / chunk).cast("int").alias("rest"))
     e = e.join(mixed, "gram").withColumn("is_top", F.col("comp") == F.col("most"))
     e = e.withColumn("chunk", F.when(F.col("is_top"), F.pmod(F.xxhash64("key"), F.col("tops"))).otherwise(F.col("tops") + F.pmod(F.xxhash64("key"), F.col("rest"))).cast("int"))
-    e = e.filter("is_long").join(cells, "key", "left").unionByName(e.filter("not is_long").withColumn("cells", F.lit(None).cast("binary")))
+    e = e.join(cells, "key", "left").withColumn("cells", F.when(F.col("is_long"), F.col("cells")))
     e = e.withColumn("other", F.explode(F.sequence(F.when(F.col("is_top"), F.col("tops")).otherwise(F.lit(0)), F.col("tops") + F.col("rest") - 1)))
     e = e.withColumn("c1", F.least("chunk", "other")).withColumn("c2", F.greatest("chunk", "other"))
     e = e.repartition(shuffle_partitions(entries.sparkSession), "gram", "c1", "c2").sortWithinPartitions("gram", "c1", "c2", "size", "pos")
