@@ -209,12 +209,14 @@ def train(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", tr
 
 def _label(model: Model, texts: list[str], switch: float, spans: bool):
     """Language, score and spans of each text."""
-    scores, counts, parts = [], [], []
+    scores, counts, parts, evidence = [], [], [], []
     size, held = 0, []
 
     def block():
         w = Words(held, model.buckets, model.sizes)
         scores.append(model.scores(w))
+        # a word tells something if languages differ on it, or if the only one uses its script
+        evidence.append(scores[-1].min(1) < 0 if len(model.langs) > 1 else model.allowed[w.script][:, 0])
         counts.append(w.counts)
         parts.append((w.start - np.repeat(w.base[:-1], w.counts), w.length))
 
@@ -228,7 +230,7 @@ def _label(model: Model, texts: list[str], switch: float, spans: bool):
         block()
     n = np.concatenate(counts)
     label = viterbi(np.concatenate(scores), n, switch)
-    evidence = np.concatenate([s.min(1) < 0 for s in scores])
+    evidence = np.concatenate(evidence)
     start, length = (np.concatenate(c) for c in zip(*parts, strict=True))
     text = np.repeat(np.arange(len(n)), n)
     k = len(model.langs)
