@@ -13,7 +13,7 @@ class, named by a 64-bit signature of the set; all later work is on classes.
 3. Index skipping.  A list is sorted by size, then position.  Its leader's block ends where
    sizes can no longer reach t, and 1 + min(rest of x, rest of z) below the needed overlap
    skips an entry at its position.  Entries of long lists get the parities of their set over
-   1024 cells: two sets differ in at least as many elements as parities, which refutes most
+   512 cells: two sets differ in at least as many elements as parities, which refutes most
    pairs of unlike sets before they leave their list.
 4. Answers by relation.  Each class is first checked against one leader only, then against
    the class of each long list whose parities are nearest, which settles nearly all members
@@ -47,9 +47,9 @@ ID_BITS = 40  # of 59
 TASK_GRAMS, TASK_COMMON = 4_000_000, 3
 ROUTE_KEYS = 2_000_000
 LIST_CHUNK, SPLIT_LEVEL = 2000, 13
-NEAREST_ROUNDS = 2
+NEAREST_ROUNDS = 1
 GROUP_MEMBERS = 100
-SIGNATURE_WORDS = 16
+SIGNATURE_WORDS = 8
 
 
 def _needed(total, numer, denom):
@@ -503,7 +503,8 @@ def _between(entries: DataFrame, labels: DataFrame, cells: DataFrame, numer, den
     mixed = mixed.select("gram", (F.col("n") >= long_list).alias("is_long"), F.col("top.comp").alias("most"), F.ceil(F.col("top.n") / chunk).cast("int").alias("tops"), F.ceil((F.col("n") - F.col("top.n")) / chunk).cast("int").alias("rest"))
     e = e.join(mixed, "gram").withColumn("is_top", F.col("comp") == F.col("most"))
     e = e.withColumn("chunk", F.when(F.col("is_top"), F.pmod(F.xxhash64("key"), F.col("tops"))).otherwise(F.col("tops") + F.pmod(F.xxhash64("key"), F.col("rest"))).cast("int"))
-    e = e.join(cells, "key", "left").withColumn("cells", F.when(F.col("is_long"), F.col("cells")))
+    bare = F.lit(None).cast("binary")
+    e = e.filter("is_long").join(cells, "key", "left") if nearest else e.filter("is_long").join(cells, "key", "left").unionByName(e.filter("not is_long").withColumn("cells", bare))
     e = e.withColumn("other", F.explode(F.sequence(F.when(F.col("is_top"), F.col("tops")).otherwise(F.lit(0)), F.col("tops") + F.col("rest") - 1)))
     e = e.withColumn("c1", F.least("chunk", "other")).withColumn("c2", F.greatest("chunk", "other"))
     e = e.repartition(shuffle_partitions(entries.sparkSession), "gram", "c1", "c2").sortWithinPartitions("gram", "c1", "c2", "size", "pos")
