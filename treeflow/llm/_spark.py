@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..shared import cut, new_folder, shared_dir  # noqa: F401
+from ..shared import cut, give_back, new_folder, shared_dir  # noqa: F401
 from ..ship import ship
 
 
