@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from . import _text as T
 from ._components import components
-from ._spark import cut, ship, shuffle_partitions, stored, with_places
+from ._spark import cut, give_back, ship, shuffle_partitions, stored, with_places
 
 N, NUMER, DENOM = 5, 4, 5  # words of a shingle; threshold 4/5
 COMMON, COMMON_CELLS = 16, 8_000_000
@@ -319,6 +319,7 @@ def _stored_sets(texts: DataFrame, wanted: DataFrame, text_col: str, n: int, rou
     """(key, members): the sets of the wanted classes (key), written once.  A class of several
     tasks may stand there more than once."""
     spark = texts.sparkSession
+    give_back(spark)
     wanted = cut(wanted.select("key").distinct())
     if wanted.count() <= route_keys:
         keys = spark.sparkContext.broadcast(np.sort(wanted.toArrow().column("key").to_numpy()))
@@ -396,6 +397,7 @@ def _overlaps(sets: DataFrame, pairs: DataFrame, route_keys: int) -> DataFrame:
     n_routes = route.count()
     if not n_routes:
         return spark.createDataFrame([], "a long, b long, size_a long, size_b long, overlap long")
+    give_back(spark)
     if n_routes <= route_keys:
         rows = [route.select("key", "a", "part", "role").toArrow()]
         cols = [rows[0].column(i).to_numpy() for i in range(4)]
@@ -495,6 +497,7 @@ def _between(entries: DataFrame, labels: DataFrame, cells: DataFrame, numer, den
 
     Lists of at least `long_list` entries get the parities of their sets, which refute most
     pairs there; a shorter list has few pairs."""
+    give_back(entries.sparkSession)
     e = entries.join(labels.select("key", "comp"), "key", "left").select(*_ENTRY, F.coalesce("comp", "key").alias("comp"))
     # of a list's largest component each chunk only meets the entries of other components
     mixed = e.groupBy("gram", "comp").agg(F.count("*").alias("n")).groupBy("gram").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("comps")).filter("comps > 1")
@@ -556,6 +559,7 @@ def jaccard_components(
     share a signature with a chance of 1 in 2**64 for a pair.
     """
     spark = ship(docs.sparkSession)
+    give_back(spark)
     docs = docs.select(F.col(id_col), F.col(text_col).cast("string").alias(text_col))
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(text_col)
@@ -563,6 +567,7 @@ def jaccard_components(
     own = found.filter("gram is null").select("id", "size", "key", "parities")
     levels = spark.sparkContext.broadcast(_levels(found.filter("gram is not null").select("gram", "n"), common, common_cells))
 
+    give_back(spark)
     listed = texts.mapInArrow(_list_entries(text_col, n, numer, denom, levels), "gram long, place long, key long")
     entries = _led(listed, numer, denom, split_level)
 
