@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..shared import cut, give_back, new_folder, shared_dir  # noqa: F401
+from ..shared import cut, give_back, new_folder, own_shuffles, remove_folder, shared_dir  # noqa: F401
 from ..ship import ship
 
 
@@ -19,10 +19,10 @@ def fields(df: DataFrame, columns: list[str], more: str) -> T.StructType:
     return T.StructType([*(df.schema[c] for c in columns), *T._parse_datatype_string(more).fields])
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet to the shared folder and read back: a checkpoint that is packed."""
-    folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+def stored(df: DataFrame, folder: str) -> DataFrame:
+    """df, written as Parquet to a folder of new_folder() and read back: a checkpoint that is packed."""
+    with own_shuffles(df) as own:
+        own.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

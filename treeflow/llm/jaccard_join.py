@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from . import _text as T
 from ._components import components
-from ._spark import cut, give_back, ship, shuffle_partitions, stored, with_places
+from ._spark import cut, give_back, new_folder, remove_folder, ship, shuffle_partitions, stored, with_places
 
 N, NUMER, DENOM = 5, 4, 5  # words of a shingle; threshold 4/5
 COMMON, COMMON_CELLS = 16, 8_000_000
@@ -261,8 +261,8 @@ def _shared(numer, denom):
     return run
 
 
-def _led(listed: DataFrame, numer, denom, split_level: int) -> DataFrame:
-    """The entries that _shared() leaves of (gram, place, key).
+def _led(listed: DataFrame, numer, denom, split_level: int, folder: str) -> DataFrame:
+    """The entries that _shared() leaves of (gram, place, key), stored in the folder.
 
     The lists of n-grams that more than 2**split_level sets have are split by class; the
     leaders of such a list's pieces then meet as one list of their own."""
@@ -275,12 +275,12 @@ def _led(listed: DataFrame, numer, denom, split_level: int) -> DataFrame:
         dealt = rows.repartition(shuffle_partitions(rows.sparkSession), *by).sortWithinPartitions("gram", "salt", "place", "key")
         return dealt.select("gram", "salt", "place", "key").mapInArrow(_shared(numer, denom), schema)
 
-    first = stored(run(listed, "gram", "salt"), "lists")
+    first = stored(run(listed, "gram", "salt"), f"{folder}/first")
     tops = (F.col("salt") >= 0) & F.col("leader").isNull()
     again = first.filter(tops).select("gram", F.lit(-1).alias("salt"), (F.shiftleft(F.col("size").cast("long"), 32) + F.col("pos")).alias("place"), "key")
     if again.isEmpty():
         return first.drop("salt")
-    return first.filter(~tops).unionByName(stored(run(again, "gram"), "lists")).drop("salt")
+    return first.filter(~tops).unionByName(stored(run(again, "gram"), f"{folder}/tops")).drop("salt")
 
 
 # --- comparing full sets ----------------------------------------------------------------
@@ -315,8 +315,8 @@ def _keep(text_col, n, keys_of):
     return run
 
 
-def _stored_sets(texts: DataFrame, wanted: DataFrame, text_col: str, n: int, route_keys: int) -> DataFrame:
-    """(key, members): the sets of the wanted classes (key), written once.  A class of several
+def _stored_sets(texts: DataFrame, wanted: DataFrame, text_col: str, n: int, route_keys: int, folder: str) -> DataFrame:
+    """(key, members): the sets of the wanted classes (key), written once, to the folder.  A class of several
     tasks may stand there more than once."""
     spark = texts.sparkSession
     give_back(spark)
@@ -326,7 +326,7 @@ def _stored_sets(texts: DataFrame, wanted: DataFrame, text_col: str, n: int, rou
         sets = texts.mapInArrow(_keep(text_col, n, keys), "key long, members binary")
     else:
         sets = texts.mapInArrow(_keep(text_col, n, None), "key long, members binary").join(wanted, "key", "left_semi")
-    return stored(sets, "sets")
+    return stored(sets, folder)
 
 
 def _send(route_of):
@@ -569,7 +569,8 @@ def jaccard_components(
 
     give_back(spark)
     listed = texts.mapInArrow(_list_entries(text_col, n, numer, denom, levels), "gram long, place long, key long")
-    entries = _led(listed, numer, denom, split_level)
+    lists_at, sets_at = new_folder(spark, "lists"), new_folder(spark, "sets")
+    entries = _led(listed, numer, denom, split_level, lists_at)
 
     described = own.filter("parities is not null").groupBy("key").agg(F.first("size").cast("long").alias("size"), F.first("parities").alias("p"))
     cells = found.filter("cells is not null").groupBy("key").agg(F.first("cells").alias("cells"))
@@ -583,7 +584,7 @@ def jaccard_components(
     # a class and, of the leaders and neighbours it met, the one that its parities are nearest to
     met = entries.filter("leader is not null").select(F.col("key").alias("b"), F.explode(F.array("leader", "before")).alias("a")).filter("a is not null").distinct()
     first = refuted(met).groupBy("b").agg(F.min(F.struct("differ", "a")).alias("m")).select("m.a", "b")
-    sets = _stored_sets(texts, entries, text_col, n, route_keys)
+    sets = _stored_sets(texts, entries, text_col, n, route_keys, sets_at)
     near = _overlaps(sets, first, route_keys)
 
     def joined(edges, comps, checked):
@@ -612,6 +613,7 @@ def jaccard_components(
     labels = cut(comps.join(roots, "key", "left").select("key", "comp", F.coalesce("root", "key").alias("root"), F.coalesce("far", F.lit(0)).alias("far")))
 
     pairs = refuted(_between(lists, labels, cells, numer, denom, list_chunk, common))
+    remove_folder(spark, lists_at)
 
     # of these, each class is checked against the one that its parities are nearest to
     ends = pairs.select("a", "b", "differ", F.col("a").alias("of"), F.col("b").alias("to")).unionByName(pairs.select("a", "b", "differ", F.col("b").alias("of"), F.col("a").alias("to")))
@@ -643,6 +645,7 @@ def jaccard_components(
     refuted = F.coalesce((F.col("between") - F.col("far") > F.col("most")) | (themselves & F.col("between").isNotNull()), F.lit(False))
     open_ = cut(open_.withColumn("sure", sure).filter(F.col("sure") | ~refuted).select("a", "b", "sure").distinct())
     last = _overlaps(sets, open_.filter("not sure").select("a", "b"), route_keys)
+    remove_folder(spark, sets_at)
     sure = open_.filter("sure").select("a", "b", F.lit(1).cast("long").alias("size_a"), F.lit(1).cast("long").alias("size_b"), F.lit(1).cast("long").alias("overlap"))
     edges, comps, _ = joined(edges, comps, last.unionByName(sure))
 
