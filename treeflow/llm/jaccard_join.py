@@ -12,9 +12,10 @@ class, named by a 64-bit signature of the set; all later work is on classes.
    positions.  Two sets with Jaccard >= t share a listed n-gram.
 3. Index skipping.  A list is sorted by size, then position.  Its leader's block ends where
    sizes can no longer reach t, and 1 + min(rest of x, rest of z) below the needed overlap
-   skips an entry at its position.  Entries of long lists get the parities of their set over
-   512 cells: two sets differ in at least as many elements as parities, which refutes most
-   pairs of unlike sets before they leave their list.
+   skips an entry at its position.  Entries get the parities of their set over 512 cells: two
+   sets differ in at least as many elements as parities, which refutes most pairs of unlike
+   sets before they leave their list.  Lists of two or three need it as well: their number,
+   where texts share an n-gram by chance, grows with the square of the table.
 4. Answers by relation.  Each class is first checked against one leader only, then against
    the class of each long list whose parities are nearest, which settles nearly all members
    of a group of copies.  Of lists whose classes already are in one component nothing more is asked.
@@ -25,13 +26,15 @@ class, named by a 64-bit signature of the set; all later work is on classes.
 
 No pair is lost: a candidate pair ends in one component, is refuted by a bound, or is checked
 on the full sets.  A long list is cut into chunks and every pair of chunks is one group of
-rows, but for pairs within the list's largest component, so no task holds an unbounded list.  The texts are read three times: to describe them,
-to list n-grams, and to store the sets of classes that share a listed n-gram; stored sets
-travel once for each group that needs them.
+rows, but for pairs within the list's largest component, so no task holds an unbounded list.  The texts are read to describe them, to
+list n-grams, and three times at most (less where no class is new) to store the sets of
+classes in pairs that are left; stored sets travel once for each group that needs them.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -316,11 +319,10 @@ def _keep(text_col, n, keys_of):
 
 
 def _stored_sets(texts: DataFrame, wanted: DataFrame, text_col: str, n: int, route_keys: int, folder: str) -> DataFrame:
-    """(key, members): the sets of the wanted classes (key), written once, to the folder.  A class of several
-    tasks may stand there more than once."""
+    """(key, members): the sets of the wanted classes (key, distinct), written once, to the folder.
+    A class of several tasks may stand there more than once."""
     spark = texts.sparkSession
     give_back(spark)
-    wanted = cut(wanted.select("key").distinct())
     if wanted.count() <= route_keys:
         keys = spark.sparkContext.broadcast(np.sort(wanted.toArrow().column("key").to_numpy()))
         sets = texts.mapInArrow(_keep(text_col, n, keys), "key long, members binary")
@@ -416,7 +418,7 @@ def _overlaps(sets: DataFrame, pairs: DataFrame, route_keys: int) -> DataFrame:
 
 def _cross(numer, denom, nearest: bool):
     """Rows sorted by gram, c1, c2, size, pos: pairs (a, b) of classes in different components
-    that the filters leave; entries of long lists come with the parities of their sets.
+    that the filters leave; entries come with the parities of their sets.
     nearest: of these, and for each only the pair with the fewest differing ones, so that a
     list gives no more pairs than it has entries."""
 
@@ -495,19 +497,17 @@ def _cross(numer, denom, nearest: bool):
 def _between(entries: DataFrame, labels: DataFrame, cells: DataFrame, numer, denom, chunk: int, long_list: int, nearest: bool = False) -> DataFrame:
     """Candidate pairs of entries in different components, distinct; cells: (key, cells).
 
-    Lists of at least `long_list` entries get the parities of their sets, which refute most
-    pairs there; a shorter list has few pairs."""
+    nearest: only from lists of at least `long_list` entries."""
     give_back(entries.sparkSession)
     e = entries.join(labels.select("key", "comp"), "key", "left").select(*_ENTRY, F.coalesce("comp", "key").alias("comp"))
     # of a list's largest component each chunk only meets the entries of other components
     mixed = e.groupBy("gram", "comp").agg(F.count("*").alias("n")).groupBy("gram").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("comps")).filter("comps > 1")
     if nearest:
         mixed = mixed.filter(F.col("n") >= long_list)
-    mixed = mixed.select("gram", (F.col("n") >= long_list).alias("is_long"), F.col("top.comp").alias("most"), F.ceil(F.col("top.n") / chunk).cast("int").alias("tops"), F.ceil((F.col("n") - F.col("top.n")) / chunk).cast("int").alias("rest"))
+    mixed = mixed.select("gram", F.col("top.comp").alias("most"), F.ceil(F.col("top.n") / chunk).cast("int").alias("tops"), F.ceil((F.col("n") - F.col("top.n")) / chunk).cast("int").alias("rest"))
     e = e.join(mixed, "gram").withColumn("is_top", F.col("comp") == F.col("most"))
     e = e.withColumn("chunk", F.when(F.col("is_top"), F.pmod(F.xxhash64("key"), F.col("tops"))).otherwise(F.col("tops") + F.pmod(F.xxhash64("key"), F.col("rest"))).cast("int"))
-    bare = F.lit(None).cast("binary")
-    e = e.filter("is_long").join(cells, "key", "left") if nearest else e.filter("is_long").join(cells, "key", "left").unionByName(e.filter("not is_long").withColumn("cells", bare))
+    e = e.join(cells, "key", "left")
     e = e.withColumn("other", F.explode(F.sequence(F.when(F.col("is_top"), F.col("tops")).otherwise(F.lit(0)), F.col("tops") + F.col("rest") - 1)))
     e = e.withColumn("c1", F.least("chunk", "other")).withColumn("c2", F.greatest("chunk", "other"))
     e = e.repartition(shuffle_partitions(entries.sparkSession), "gram", "c1", "c2").sortWithinPartitions("gram", "c1", "c2", "size", "pos")
@@ -584,8 +584,23 @@ def jaccard_components(
     # a class and, of the leaders and neighbours it met, the one that its parities are nearest to
     met = entries.filter("leader is not null").select(F.col("key").alias("b"), F.explode(F.array("leader", "before")).alias("a")).filter("a is not null").distinct()
     first = refuted(met).groupBy("b").agg(F.min(F.struct("differ", "a")).alias("m")).select("m.a", "b")
-    sets = _stored_sets(texts, entries, text_col, n, route_keys, sets_at)
-    near = _overlaps(sets, first, route_keys)
+    kept = []  # keys, sets
+
+    def compared(pairs, of=None):
+        """overlaps of the class pairs (a, b); of: pairs whose classes' sets are stored first,
+        where not yet.  Most classes are in no pair that parities leave."""
+        if of is not None:
+            wanted = of.select(F.col("a").alias("key")).unionByName(of.select(F.col("b").alias("key"))).distinct()
+            for keys, _ in kept:
+                wanted = wanted.join(keys, "key", "left_anti")
+            wanted = cut(wanted)
+            if not wanted.isEmpty():
+                kept.append((wanted, _stored_sets(texts, wanted, text_col, n, route_keys, f"{sets_at}/{len(kept)}")))
+        none = spark.createDataFrame([], "key long, members binary")
+        return _overlaps(reduce(DataFrame.unionByName, [sets for _, sets in kept], none), pairs, route_keys)
+
+    first = cut(first)
+    near = compared(first, first)
 
     def joined(edges, comps, checked):
         """edges and components with the links among checked pairs; and whether there were any"""
@@ -603,7 +618,7 @@ def jaccard_components(
         close = refuted(_between(lists, comps, cells, numer, denom, list_chunk, common, True))
         close = close.select("a", "b", "differ", F.col("a").alias("of")).unionByName(close.select("a", "b", "differ", F.col("b").alias("of")))
         close = close.groupBy("of").agg(F.min(F.struct("differ", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
-        edges, comps, some = joined(edges, comps, _overlaps(sets, close, route_keys))
+        edges, comps, some = joined(edges, comps, compared(close, close))
         if not some:
             break
     # the distance to the leader serves where the leader is no member of another one
@@ -618,7 +633,7 @@ def jaccard_components(
     # of these, each class is checked against the one that its parities are nearest to
     ends = pairs.select("a", "b", "differ", F.col("a").alias("of"), F.col("b").alias("to")).unionByName(pairs.select("a", "b", "differ", F.col("b").alias("of"), F.col("a").alias("to")))
     nearest = ends.groupBy("of").agg(F.min(F.struct("differ", "to", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
-    beside = _overlaps(sets, nearest, route_keys)
+    beside = compared(nearest, pairs)
     edges, comps, _ = joined(edges, comps, beside)
 
     def apart_in(comps, pairs):
@@ -634,7 +649,7 @@ def jaccard_components(
     pairs = pairs.join(at("a"), "a", "left").join(at("b"), "b", "left")
     pairs = pairs.select("a", "b", *(F.coalesce(f"root_{x}", x).alias(f"root_{x}") for x in "ab"), (F.coalesce("far_a", F.lit(0)) + F.coalesce("far_b", F.lit(0))).alias("far"), (F.col("size_a") + F.col("size_b")).alias("total"))
     pairs = pairs.select("a", "b", F.least("root_a", "root_b").alias("ra"), F.greatest("root_a", "root_b").alias("rb"), "far", F.floor(F.col("total") * (denom - numer) / (numer + denom)).alias("most"))
-    apart = _overlaps(sets, pairs.select(F.col("ra").alias("a"), F.col("rb").alias("b")).filter("a <> b").distinct(), route_keys)
+    apart = compared(pairs.select(F.col("ra").alias("a"), F.col("rb").alias("b")).filter("a <> b").distinct())
     edges, comps, _ = joined(edges, comps, apart)
 
     # what the leaders' distance says of the pairs that are still in different components
@@ -644,7 +659,7 @@ def jaccard_components(
     sure = F.coalesce(F.col("between") + F.col("far") <= F.col("most"), F.lit(False))
     refuted = F.coalesce((F.col("between") - F.col("far") > F.col("most")) | (themselves & F.col("between").isNotNull()), F.lit(False))
     open_ = cut(open_.withColumn("sure", sure).filter(F.col("sure") | ~refuted).select("a", "b", "sure").distinct())
-    last = _overlaps(sets, open_.filter("not sure").select("a", "b"), route_keys)
+    last = compared(open_.filter("not sure").select("a", "b"))
     remove_folder(spark, sets_at)
     sure = open_.filter("sure").select("a", "b", F.lit(1).cast("long").alias("size_a"), F.lit(1).cast("long").alias("size_b"), F.lit(1).cast("long").alias("overlap"))
     edges, comps, _ = joined(edges, comps, last.unionByName(sure))
